@@ -51,22 +51,26 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions_of(spark: SparkSession, sf_dir: str, orders: DataFrame,
                     email: Column | None = None) -> DataFrame:
-    """Transactions of the given orders: one per order and type, items in line order."""
+    """Transactions of the given orders: one per order and type, items in line order.
+
+    Lines are brought together by order before they are grouped: the groups are small, so
+    collecting them on the map side first would only add a second pass.
+    """
     lines = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber",
-        F.col("l_extendedprice").cast(MONEY).alias("amount"),
-        F.when(F.col("l_returnflag") == "R", "return").otherwise("purchase")
-        .alias("transaction_type"))
+        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_returnflag")
     brands = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
     customers = read(spark, sf_dir, "customer")
+    kind = F.when(F.col("l_returnflag") == "R", "return").otherwise("purchase")
     line = F.struct("l_linenumber", "l_partkey", "p_brand")
-    baskets = (orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-               .join(brands, F.col("l_partkey") == F.col("p_partkey"))
-               .groupBy("o_orderkey", "o_custkey", "o_orderdate", "transaction_type")
+    baskets = (lines.join(brands, F.col("l_partkey") == F.col("p_partkey"))
+               .repartition("l_orderkey")
+               .groupBy("l_orderkey", kind.alias("transaction_type"))
                .agg(F.array_sort(F.collect_list(line)).alias("lines"),
                     F.count("*").cast("int").alias("total_item_quantity"),
-                    F.sum("amount").cast(MONEY).alias("total_purchase_usd")))
-    return (baskets.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+                    F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY)
+                    .alias("total_purchase_usd")))
+    return (baskets.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
             .select((email_of("c_name") if email is None else email).alias("email"),
                     F.col("lines.p_brand").alias("items"),
                     F.concat_ws("-", F.col("o_orderkey").cast("string"), "transaction_type")
