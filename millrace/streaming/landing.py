@@ -12,11 +12,11 @@ from millrace.sources.schemas import BRONZE_SCHEMAS
 from millrace.sources.sinks import overwrite_table, replace_partitions
 
 # Bounds one micro-batch, so that a large backlog is loaded in restartable steps.
-MAX_BYTES_PER_BATCH = "1t"
+MAX_BYTES_PER_BATCH = 1024 ** 4
 
 
 def landing_stream(spark: SparkSession, layout: Layout, name: str,
-                   max_bytes: str = MAX_BYTES_PER_BATCH) -> DataFrame:
+                   max_bytes: int = MAX_BYTES_PER_BATCH) -> DataFrame:
     """Files delivered for a table, as a stream with the declared schema."""
     return (spark.readStream.schema(BRONZE_SCHEMAS[name])
             .option("recursiveFileLookup", "true")
@@ -25,7 +25,7 @@ def landing_stream(spark: SparkSession, layout: Layout, name: str,
 
 
 def ingest_landing(spark: SparkSession, layout: Layout, name: str,
-                   max_bytes: str = MAX_BYTES_PER_BATCH) -> None:
+                   max_bytes: int = MAX_BYTES_PER_BATCH) -> None:
     """Load files not loaded before into bronze, then stop.
 
     The checkpoint remembers the files, so nothing depends on dates: files with old days are

@@ -1,0 +1,64 @@
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from helpers import bag, day
+from millrace.operators.completeness import completeness_daily
+from millrace.operators.repair import (
+    REPAIR_LOG_COLUMNS, merge_attempts, qa_repair_log, repair_delta,
+)
+from millrace.operators.sets import rows_absent_from
+from millrace.sources.control import control_totals
+
+SCHEMA = "a int, b string, c array<string>"
+ROWS = st.lists(st.tuples(st.sampled_from([1, 2, None]), st.sampled_from(["x", "", None]),
+                          st.sampled_from([["i"], [], None])), max_size=12)
+SOME = settings(max_examples=15, deadline=None,
+                suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def test_merge_matches_columns_by_name(spark):
+    base = spark.createDataFrame([(1, 2)], "a int, b int")
+    attempt = spark.createDataFrame([(2, 1), (4, 3)], "b int, a int")
+    assert bag(merge_attempts(base, attempt)) == [(1, 2), (3, 4)]
+
+
+def test_refetched_rows_outside_the_range_are_left_out(spark):
+    rows = [(n, day(f"2024-01-0{n}")) for n in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "a int, utc_date date")
+    merged = merge_attempts(df.limit(0), df, df, start=day("2024-01-02"), end=day("2024-01-03"))
+    assert bag(merged) == rows[1:]
+
+
+@SOME
+@given(ROWS, ROWS)
+def test_absent_rows_equal_subtract(spark, left, right):
+    one, two = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    assert bag(rows_absent_from(one, two)) == bag(one.subtract(two))
+
+
+@SOME
+@given(ROWS, ROWS)
+def test_base_plus_delta_is_the_merged_table(spark, left, right):
+    base, attempt = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    merged = merge_attempts(base, attempt)
+    repaired = base.unionByName(repair_delta(merged, base))
+    assert bag(repaired.distinct()) == bag(merged)
+
+
+def test_absent_rows_keep_a_column_of_the_marker_name(spark):
+    df = spark.createDataFrame([(True, 1), (False, 2)], "_held boolean, a int")
+    assert bag(rows_absent_from(df, df.limit(1))) == [(False, 2)]
+
+
+def test_repair_log_compares_before_and_after(spark):
+    ids = "visid_high int, visid_low int, hitid_high int, hitid_low int, utc_date date"
+    rows = [(n, n, n, n, day("2024-01-01")) for n in range(4)]
+    df = spark.createDataFrame(rows, ids)
+    control = control_totals(spark, [(day("2024-01-01"), 4, 4), (day("2024-01-02"), 0, 0)])
+    span = day("2024-01-01"), day("2024-01-02")
+    log = qa_repair_log(completeness_daily(df.filter("visid_high > 0"), control, *span),
+                        completeness_daily(df, control, *span))
+    assert log.columns == [name for name, _ in REPAIR_LOG_COLUMNS]
+    first, second = [tuple(map(float, row[1:])) for row in log.orderBy("utc_date").collect()]
+    assert first == (3, 4, 4, .75, 1, 3, 4, 4, .75, 1, True)
+    assert second == (0, 0, 0, 0, 0, 0, 0, 0, 0, 0, False)
