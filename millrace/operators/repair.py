@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.incremental import within_dates
-from millrace.operators.sets import merge_rows, rows_absent_from
+from millrace.operators.sets import rows_absent_from
 
 # Columns of the repair log, in order, and the daily column each is taken from.
 REPAIR_LOG_COLUMNS = (
@@ -27,19 +28,29 @@ REPAIR_LOG_COLUMNS = (
 )
 
 
-def merge_attempts(base: DataFrame, *attempts: DataFrame, start: date | None = None,
-                   end: date | None = None) -> DataFrame:
-    """Distinct rows of the base and all refetches, columns by name.
+def gather_attempts(base: DataFrame, *attempts: DataFrame, start: date | None = None,
+                    end: date | None = None) -> DataFrame:
+    """All rows of the base and the refetches, columns by name, copies kept.
 
-    With ``start`` and ``end``, refetched rows outside the range are left out.
+    Enough for distinct counts, which copies do not change, and it shuffles nothing. With
+    ``start`` and ``end``, refetched rows outside the range are left out.
     """
     if start is not None and end is not None:
         attempts = tuple(within_dates(attempt, start, end) for attempt in attempts)
-    return merge_rows(base, *attempts)
+    return reduce(DataFrame.unionByName, attempts, base)
+
+
+def merge_attempts(base: DataFrame, *attempts: DataFrame, start: date | None = None,
+                   end: date | None = None) -> DataFrame:
+    """Distinct rows of the base and the refetches."""
+    return gather_attempts(base, *attempts, start=start, end=end).distinct()
 
 
 def repair_delta(merged: DataFrame, base: DataFrame) -> DataFrame:
-    """Distinct rows the base lacks."""
+    """Distinct rows the base lacks.
+
+    ``merged`` may be the refetched rows alone: rows of the base cancel out.
+    """
     return rows_absent_from(merged, base)
 
 

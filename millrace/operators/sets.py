@@ -1,26 +1,19 @@
-"""Set operations on whole rows.
-
-Both are one aggregation keyed by every column, so copies of a row collapse inside the map
-tasks before the shuffle, and a group of copies, however large, reaches a reducer as one row
-per map task. ``DataFrame.subtract`` gives the same rows but joins before it deduplicates:
-two or three shuffles, with all copies of a row in one task.
-"""
+"""Set difference of whole rows."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def merge_rows(*frames: DataFrame) -> DataFrame:
-    """Distinct rows of all frames, columns matched by name."""
-    return reduce(DataFrame.unionByName, frames).distinct()
-
-
 def rows_absent_from(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` that are not in ``right``; NULL equals NULL."""
+    """Distinct rows of ``left`` that are not in ``right``; NULL equals NULL.
+
+    One aggregation keyed by every column: copies of a row collapse inside the map tasks, so a
+    group of copies, however large, reaches its reducer as one row per map task.
+    ``DataFrame.subtract`` gives the same rows but joins before it deduplicates, with more
+    shuffles and all copies of a row in one task.
+    """
     columns = left.columns
     held = "_held"
     while held in columns:

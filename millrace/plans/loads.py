@@ -55,12 +55,18 @@ def load_transactions(spark: SparkSession, layout: Layout, loaded_at: datetime |
 
 
 def load_clickstream(spark: SparkSession, layout: Layout, loaded_at: datetime | None = None,
-                     after: date | None = None, fmt: str = "parquet") -> date | None:
-    """As ``load_transactions``, for clicks."""
+                     after: date | None = None, fmt: str = "parquet",
+                     rebalance: bool = True) -> date | None:
+    """As ``load_transactions``, for clicks.
+
+    Nothing in it shuffles, so with bronze in large files of one day each ``rebalance=False``
+    makes the load a pure scan and write.
+    """
     path = layout.table("silver", "clickstream")
     mark = after or watermark_of(spark, path, fmt)
     source = after_watermark(scan_bronze(spark, layout, "clickstream"), mark)
-    replace_partitions(silver_clickstream(source, loaded_at), path, fmt=fmt)
+    replace_partitions(silver_clickstream(source, loaded_at), path, fmt=fmt,
+                       rebalance=rebalance)
     return mark
 
 

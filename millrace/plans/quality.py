@@ -12,7 +12,7 @@ from millrace.operators.completeness import (
     MAX_FAILING_DAYS, THRESHOLD, completeness_daily, completeness_verdict,
 )
 from millrace.operators.incremental import date_bounds, within_dates
-from millrace.operators.repair import merge_attempts, qa_repair_log, repair_delta
+from millrace.operators.repair import gather_attempts, qa_repair_log, repair_delta
 from millrace.operators.transaction_checks import transaction_checks
 from millrace.sources.layout import Layout, run_stamp
 from millrace.sources.sinks import append_rows, overwrite_table
@@ -41,25 +41,28 @@ def repair_clickstream(spark: SparkSession, layout: Layout, control: DataFrame,
     ``attempts`` are folders of refetched files, used in order and only as far as needed.
     Rows they add go to bronze once, under a folder of this run (a rerun replaces it), and the
     log compares the days before and after. Returns whether the range is complete.
+
+    Counts are distinct counts, so the checks run over base and refetches side by side; whole
+    rows are shuffled only once, for the rows to add.
     """
     folder, run_id = layout.qa_log("clickstream", at), f"r{run_stamp(at)}"
     base = within_dates(scan_bronze(spark, layout, "clickstream", without_run=run_id), start, end)
     initial = log_daily(spark, completeness_daily(base, control, start, end, threshold),
                         f"{folder}/initial", fmt)
-    complete, final, merged = is_complete(initial, max_failing_days), initial, base
+    complete, final = is_complete(initial, max_failing_days), initial
     used: list[DataFrame] = []
     for attempt in attempts[:MAX_REFETCHES]:
         if complete:
             break
-        used.append(scan_glob(spark, f"{attempt}/*"))
-        merged = merge_attempts(base, *used, start=start, end=end)
-        final = log_daily(spark, completeness_daily(merged, control, start, end, threshold),
+        used.append(within_dates(scan_glob(spark, f"{attempt}/*"), start, end))
+        gathered = gather_attempts(base, *used)
+        final = log_daily(spark, completeness_daily(gathered, control, start, end, threshold),
                           f"{folder}/after{len(used)}", fmt)
         complete = is_complete(final, max_failing_days)
     if used:
-        delta = repair_delta(merged, base)
-        (delta.hint("rebalance", "utc_date").write.mode("overwrite").partitionBy("utc_date")
-         .parquet(f"{layout.repaired('clickstream')}/run_id={run_id}"))
+        delta = repair_delta(gather_attempts(*used), base)
+        overwrite_table(delta, f"{layout.repaired('clickstream')}/run_id={run_id}",
+                        by="utc_date")
         overwrite_table(qa_repair_log(initial, final), f"{folder}/repair", fmt)
     return complete
 

@@ -51,7 +51,4 @@ def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names, else (local runs) a new one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return folder.rstrip("/") if folder else tempfile.mkdtemp(prefix="millrace-")

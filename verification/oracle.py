@@ -282,6 +282,7 @@ from clickstream"""),
                    "as signed_price from silver"),
         "gold_daily_signed": sql(*to_gold, select="select * from daily_signed"),
         "gold_transactions": sql(*to_gold, select="select * from gold"),
+        "gold_continued": sql(*to_gold, select="select * from gold"),
         "adjusted_signed_price": sql(
             *to_gold, select=f"select *, cast({ADJUSTED} as decimal(18,2)) "
                              "as adjusted_signed_price from gold"),
@@ -343,4 +344,12 @@ counts as (
                    "case when duplicate_groups > 0 then 'fail' else 'pass' end "
                    "as duplicates_check, 'pass' as all_cols_check, null_rows, "
                    "duplicate_groups, surplus_rows from counts"),
+        "landing_ingest": sql(
+            CLICKSTREAM, select=f"select {CLICK_IDS}, hit_time_gmt from clickstream"),
+        "recursive_scan": sql(
+            CLICKSTREAM, select="select hitid_high, hitid_low, hit_time_gmt from clickstream"),
+        "partition_replace": sql(
+            CLICKSTREAM, select=f"select hitid_high, hitid_low, {gmt('hit_time_gmt')} "
+                                "as hit_gmt_timestamp, utc_date as date from clickstream"),
+        "repair_run": sql(*repaired, select="select * from merged"),
     }
