@@ -45,8 +45,7 @@ def silver_transactions(transactions: DataFrame, products: DataFrame,
                         loaded_at: datetime | None = None) -> DataFrame:
     """One row per sold or returned item with name and price; unknown products drop out.
 
-    The join carries no hint: the planner broadcasts ``products`` where its measured size is
-    below the broadcast threshold, and otherwise shuffles, where AQE splits a hot product.
+    Pass ``products`` through ``broadcast_if_small`` to join without shuffling the items.
     """
     priced = products.select("product_id", "product_name", F.col("price").cast(MONEY).alias("price"))
     return (explode_items(transactions)

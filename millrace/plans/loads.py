@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.gold import gold_since, gold_transactions
 from millrace.operators.incremental import after_watermark, high_watermark
+from millrace.operators.lookups import broadcast_if_small
 from millrace.operators.report import sales_report
 from millrace.operators.silver import (
     silver_clickstream, silver_products, silver_transactions, silver_users,
@@ -49,7 +50,7 @@ def load_transactions(spark: SparkSession, layout: Layout, loaded_at: datetime |
     path = layout.table("silver", "transactions")
     mark = after or watermark_of(spark, path, fmt)
     source = after_watermark(scan_bronze(spark, layout, "transactions"), mark)
-    products = scan_table(spark, layout.table("bronze", "products"), fmt)
+    products = broadcast_if_small(scan_table(spark, layout.table("bronze", "products"), fmt))
     replace_partitions(silver_transactions(source, products, loaded_at), path, fmt=fmt)
     return mark
 

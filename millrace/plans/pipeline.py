@@ -15,6 +15,7 @@ from millrace.plans.loads import (
     watermark_of, write_report,
 )
 from millrace.plans.quality import log_transaction_checks, repair_clickstream
+from millrace.session import require_settings
 from millrace.sources.layout import Layout, run_stamp
 from millrace.sources.schemas import FACT_TABLES, SNAPSHOT_TABLES
 from millrace.sources.tables import scan_bronze
@@ -37,6 +38,7 @@ class PipelineConfig:
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     """Run every step once and return the report, which is also saved under the run's stamp."""
     layout, fmt, at = config.layout, config.fmt, config.run_at
+    require_settings(spark)
     for name in SNAPSHOT_TABLES:
         ingest_snapshot(spark, layout, name, fmt)
     for name in FACT_TABLES:

@@ -7,9 +7,16 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# Not Spark's defaults, and needed wherever the operators run: an aggregation after a join on
+# the same key must not keep AQE from splitting a hot key's partition of that join.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
 # UTC because epoch columns are named *_utc_* / *_gmt_*; AQE because hot keys and hot days
 # are split at run time (skew join for joins, rebalance for partitioned writes).
 BASE_SETTINGS = {
+    **SKEW_SETTINGS,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -33,6 +40,13 @@ def build_session(app_name: str = "millrace", master: str | None = None,
     return builder.getOrCreate()
 
 
+def require_settings(spark: SparkSession) -> SparkSession:
+    """Put ``SKEW_SETTINGS`` on a session built elsewhere."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Shuffle settings for an input of ``input_bytes`` on ``cores`` executor cores.
 

@@ -2,12 +2,14 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import bag, day, plan_of
 from millrace.operators.completeness import daily_visitors_hits
 from millrace.operators.gold import gold_transactions
 from millrace.operators.incremental import late_rows
+from millrace.operators.lookups import broadcast_if_small, measured_bytes
 from millrace.operators.repair import merge_attempts, repair_delta
 from millrace.operators.silver import silver_transactions
 from millrace.operators.transaction_checks import duplicate_rows, transaction_checks
@@ -39,22 +41,41 @@ def catalogue(spark):
         F.lit(2).cast("decimal(18,2)").alias("price"))
 
 
-def test_hot_product_is_split_when_products_are_too_large_to_broadcast(spark, conf):
+@pytest.fixture
+def no_broadcast(conf):
+    """Products too large to broadcast, and partitions that count as skewed on test data."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "10k")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.2")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+
+
+def test_hot_product_is_split_when_products_are_too_large_to_broadcast(spark, no_broadcast):
     silver = silver_transactions(orders(spark), catalogue(spark)).drop("etl_loaded_at")
     got = Counter(row.product_id for row in silver.collect())
     assert got["hot"] == ROWS // 3 and sum(got.values()) == ROWS
     assert "skew=true" in plan_of(silver)
 
 
-def test_small_products_are_broadcast_by_measured_size(spark):
-    silver = silver_transactions(orders(spark, 100), catalogue(spark).coalesce(1))
-    silver.collect()
-    assert "BroadcastHashJoin" in plan_of(silver)
+def test_hot_product_is_split_below_an_aggregation_too(spark, no_broadcast):
+    gold = gold_transactions(silver_transactions(orders(spark), catalogue(spark)))
+    total = sum(row.daily_signed_price for row in gold.collect())
+    assert total == 2 * (ROWS - 2 * len(range(0, ROWS, 7)))
+    assert "skew=true" in plan_of(gold)
+
+
+def test_products_are_broadcast_by_measured_size(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    products = catalogue(spark)
+    size = measured_bytes(products)
+    assert 501 * 4 * 16 < size < 501 * 100
+    small = silver_transactions(orders(spark, 100), broadcast_if_small(products))
+    large = silver_transactions(orders(spark, 100), broadcast_if_small(products, size - 1))
+    assert "BroadcastHashJoin" in plan_of(small) and "SortMergeJoin" in plan_of(large)
+    assert small.count() == large.count() == 100
+    assert measured_bytes(products.limit(0)) == 0
+    assert measured_bytes(orders(spark, 1)) is None
 
 
 def test_hot_customer_and_product_collapse_before_the_window(spark):

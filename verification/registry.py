@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators import (
     completeness, gold, incremental, repair, report, silver, transaction_checks,
 )
+from millrace.operators.lookups import broadcast_if_small
 from verification import scenarios as sc
 from verification.written import WRITTEN
 
@@ -24,7 +25,8 @@ def register(query: Query) -> Query:
 
 
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (silver.silver_transactions(sc.transactions(spark, sf_dir), sc.products(spark, sf_dir))
+    products = broadcast_if_small(sc.products(spark, sf_dir))
+    return (silver.silver_transactions(sc.transactions(spark, sf_dir), products)
             .drop("etl_loaded_at"))
 
 
