@@ -110,13 +110,15 @@ def pairs(t: dict[str, DataFrame]):
            .drop("etl_loaded_at"))
 
 
-def seconds(query, runs: int) -> float:
-    times = []
+def seconds(queries, runs: int) -> list[float]:
+    """Median time of each query, run in turn so that warm-up and memory affect all alike."""
+    times = [[] for _ in queries]
     for _ in range(runs + 1):
-        began = time.perf_counter()
-        query().write.format("noop").mode("overwrite").save()
-        times.append(time.perf_counter() - began)
-    return statistics.median(times[1:])
+        for query, taken in zip(queries, times):
+            began = time.perf_counter()
+            query().write.format("noop").mode("overwrite").save()
+            taken.append(time.perf_counter() - began)
+    return [statistics.median(taken[1:]) for taken in times]
 
 
 def same(one: DataFrame, two: DataFrame) -> bool:
@@ -137,7 +139,8 @@ def main() -> None:
     tables = inputs(spark, os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"),
                     int(os.environ.get("BENCH_COPIES", "1")))
     for name, ours, plain in pairs(tables):
-        print(f"{name:28} {seconds(ours, runs):7.3f} {seconds(plain, runs):7.3f} "
+        mine, theirs = seconds((ours, plain), runs)
+        print(f"{name:28} {mine:7.3f} {theirs:7.3f} "
               f"{'same' if same(ours(), plain()) else 'DIFFERENT'}", flush=True)
     spark.stop()
 
