@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, pivot_search, secret_scan, token_counts, token_output
+from millrace.llm import jaccard_join, packing, pivot_search, secret_scan, token_counts, token_output
 from millrace.llm.common import read, scratch
 from millrace.llm.tokenizing import tokenizer_path
 
@@ -26,6 +26,11 @@ def op1_elias_fano_output(spark, sf_dir):
                                      tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
+@register
+def op2_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 @register
 def op4_pivot_topk(spark, sf_dir):
     return pivot_search.pivot_top_k(read(spark, sf_dir, "embeddings"),

@@ -1,0 +1,100 @@
+import random
+
+import numpy as np
+import pytest
+from cases import awkward_texts, frame
+
+from millrace.llm import jaccard_join as jj
+from millrace.llm.components import components
+
+
+def plain_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(texts):
+    sets, root = [plain_set(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [(i, len(s), find(i)) for i, s in enumerate(sets)]
+
+
+def corpus(seed, n):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    passage = rng.choices(words, k=60)
+    texts = []
+    for _ in range(n):
+        kind = rng.random()
+        if texts and kind < .55:
+            base = rng.choice(texts).split() or ["x"]
+            for _ in range(rng.randint(0, max(1, len(base) // 40))):
+                base[rng.randrange(len(base))] = rng.choice(words)
+            texts.append(" ".join(base[:rng.randint(max(1, len(base) * 9 // 10), len(base))]))
+        elif kind < .7:
+            texts.append(" ".join(passage + rng.choices(words, k=rng.randint(0, 40))))
+        else:
+            texts.append(" ".join(rng.choices(words, k=rng.choice([1, 3, 5, 8, 40, 120]))))
+    return texts
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_against_brute_force(spark, monkeypatch, small):
+    texts = corpus(1, 260) + awkward_texts()
+    if small:  # several column blocks, row blocks and flushes
+        monkeypatch.setattr(jj, "BLOCK_GRAMS", 3000)
+        monkeypatch.setattr(jj, "BLOCK_NODES", 6)
+        monkeypatch.setattr(jj, "PIVOTS", 2)
+    docs = frame(spark, texts, extra=True).repartition(3)
+    got = sorted(map(tuple, jj.jaccard_components(docs).collect()))
+    assert got == brute(texts)
+    assert len({c for *_, c in got}) < len(got) - 100
+
+
+def test_repeated_and_null_ids_and_no_rows(spark):
+    text = "one two three four five six"
+    docs = frame(spark, [text, text, "other words", text, None, " "], [5, 5, 5, None, None, 3])
+    got = sorted(map(tuple, jj.jaccard_components(docs).collect()), key=repr)
+    assert got == sorted([(5, 2, 5), (5, 2, 5), (5, 1, 5), (None, 2, 5), (None, 0, None), (3, 0, 3)], key=repr)
+    assert jj.jaccard_components(frame(spark, [])).count() == 0
+    assert jj.jaccard_components(frame(spark, [None, ""])).count() == 2
+
+
+def test_one_of_a_group_stays(spark):
+    texts = corpus(2, 80) + ["", None]
+    docs = frame(spark, texts, extra=True)
+    kept = jj.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, n, c in brute(texts) if i == c]
+
+
+def test_one_row_stays_of_repeated_and_null_ids(spark):
+    text = "one two three four five six"
+    docs = frame(spark, [text, text, "other words", text, None, None], [5, 5, 5, None, None, 3])
+    got = sorted(map(tuple, jj.keep_one(docs).select("doc_id", "text").collect()), key=repr)
+    assert got == sorted([(5, text), (5, "other words"), (None, None), (3, None)], key=repr)
+
+
+def test_block_product_is_exact():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 90, rng.integers(1, 60))) for _ in range(150)]
+    links = jj.spanning_links(np.array([len(x) for x in sets]), sets, 75)
+    for i, j in links:
+        both = len(np.intersect1d(sets[i], sets[j]))
+        assert 175 * both >= 75 * (len(sets[i]) + len(sets[j]))
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a bigint, b bigint")
+    got = dict(map(tuple, components(edges).collect()))
+    assert all(got[i] == 0 for i in range(41)) and got[101] == 100
