@@ -30,7 +30,7 @@ from millrace.llm.common import arrow_schema, map_rows, whole_text, written
 from millrace.llm.components import components
 
 WORDS, THRESHOLD = 5, 75  # a shingle's words; percent
-BLOCK_GRAMS = 1 << 19     # n-grams of a column block, about
+BLOCK_GRAMS = 1 << 21     # n-grams of a column block, about
 FLUSH_GRAMS, FLUSH_DOCS = 1 << 22, 60_000
 BLOCK_NODES, BLOCK_CELLS = 512, 1 << 20  # nodes and n-grams of a row block, about
 PIVOTS = 32
@@ -115,7 +115,9 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
             first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
             count = np.diff(np.r_[first, len(grams)])
             lone = np.where(count == 1, at[first], KNOWN)
-            yield from rows(nodes, grams[first], lone, (grams[first] % np.uint64(blocks)).astype(np.int64))
+            # Blocks are ranges of the hash, so what is sorted in a block has its high bits in common.
+            block = ((grams[first] >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+            yield from rows(nodes, grams[first], lone, block.astype(np.int64))
             shared = np.repeat(count > 1, count)
             if shared.any():
                 yield from rows(nodes, grams[shared], at[shared], blocks + nodes[at[shared]] % blocks)
@@ -190,30 +192,41 @@ def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
     return rows.groupBy("block").applyInArrow(count, SHARED)
 
 
-def gathered(shared: DataFrame) -> DataFrame:
-    """One row per node: the union of its rows' n-grams, sorted. Rows of a node follow one another,
-    so a task holds one node's n-grams at a time."""
+NEAR = "node bigint, n bigint, grams array<bigint>"
+
+
+def gathered(shared: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """Nodes with ``threshold`` percent of their n-grams shared: node, n, those n-grams, sorted. Sizes
+    come along as rows of their own; rows of a node follow one another, so a task holds one node's
+    n-grams at a time."""
     def start():
-        node, parts = None, []
+        node, size, parts = None, 0, []
 
         def done():
-            grams = np.unique(np.concatenate(parts))
-            return {"node": [node], "grams": [grams]}
+            grams = np.unique(np.concatenate(parts)) if parts else ()
+            if len(grams) * 100 >= size * threshold:
+                yield {"node": [node], "n": [size], "grams": [grams]}
 
         def step(batch):
-            nonlocal node, parts
+            nonlocal node, size, parts
             if batch is None:
-                if parts:
-                    yield done()
+                if node is not None:
+                    yield from done()
                 return
-            for key, grams in zip(batch["node"].to_pylist(), batch["grams"]):
-                if key != node and parts:
-                    yield done()
-                    parts = []
+            for key, n, grams in zip(batch["node"].to_pylist(), batch["n"].to_pylist(), batch["grams"]):
+                if key != node and node is not None:
+                    yield from done()
+                    size, parts = 0, []
                 node = key
-                parts.append(np.asarray(grams.values))
+                size = max(size, n or 0)
+                if grams.is_valid:
+                    parts.append(np.asarray(grams.values))
         return step
-    return map_rows(shared.repartition("node").sortWithinPartitions("node"), SHARED, start)
+
+    none = F.lit(None)
+    rows = shared.select("node", none.cast("bigint").alias("n"), "grams").union(
+        nodes.select("node", "n", none.cast("array<bigint>")))
+    return map_rows(rows.repartition("node").sortWithinPartitions("node"), NEAR, start)
 
 
 def spanning_links(n: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
@@ -276,54 +289,54 @@ def products(rows: DataFrame, unit: list[str], threshold: int) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, nodes: DataFrame, total: int, words: int, threshold: int) -> DataFrame:
-    """Nodes that may have a partner: node, n, their shared n-grams, the first of those that count."""
+    """Nodes that may have a partner: node, n, their shared n-grams."""
     blocks = max(1, math.ceil(total / BLOCK_GRAMS))
-    sets = gathered(shared_grams(incidence(docs, blocks, words), blocks))
-    spare = F.col("n") - F.ceil(F.col("n") * threshold / F.lit(100.0))
-    return written(sets.filter(F.size("grams") > 0).join(nodes.select("node", "n"), "node")
-                   .filter(F.size("grams") * 100 >= F.col("n") * threshold)
-                   .withColumn("first", F.slice("grams", 1, (spare + 1 - F.col("n") + F.size("grams"))
-                                                .cast("int"))), "near-copies")
+    return written(gathered(shared_grams(incidence(docs, blocks, words), blocks), nodes, threshold),
+                   "near-copies")
 
 
-def links_of(near: DataFrame, threshold: int) -> DataFrame:
-    """Links (a, b) with the components of all links among ``near``."""
-    spread = near.select("node", F.explode("first").alias("gram"))
+def groups_of(near: DataFrame, threshold: int) -> DataFrame:
+    """(node, group, block, blocks, pivot): nodes that may link are in one group."""
+    spare = F.col("n") - F.ceil(F.col("n") * threshold / F.lit(100.0))
+    first = F.slice("grams", 1, (spare + 1 - F.col("n") + F.size("grams")).cast("int"))
+    spread = near.select("node", F.explode(first).alias("gram"))
     heads = (spread.groupBy("gram").agg(F.min("node").alias("head"), F.count("*").alias("nodes"))
              .filter("nodes > 1").select("gram", "head"))
-    groups = components(spread.join(heads, "gram").select(F.col("node").alias("a"), F.col("head").alias("b")))
-    rows = near.select("node", "n", "grams").join(
-        groups.select("node", F.col("component").alias("group")), "node")
-    shape = rows.groupBy("group").agg(F.count("*").alias("nodes"), F.sum(F.size("grams")).alias("cells"))
-    shape = shape.select("group", "nodes", F.greatest(
-        F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("cells") / BLOCK_CELLS)).alias("blocks"))
-    placed = written(rows.join(shape, "group").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "groups")
+    found = components(spread.join(heads, "gram").select(F.col("node").alias("a"), F.col("head").alias("b")))
+    members = (near.select("node", F.size("grams").alias("cells"))
+               .join(found.select("node", F.col("component").alias("group")), "node"))
+    shape = members.groupBy("group").agg(F.count("*").alias("nodes"), F.sum("cells").alias("cells")).select(
+        "group", "nodes", F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES),
+                                     F.ceil(F.col("cells") / BLOCK_CELLS)).alias("blocks"))
+    return written(members.join(shape, "group").select(
+        "node", "group", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
+        ((F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.col("nodes")) < PIVOTS))
+        .alias("pivot")), "groups")
+
 
+def links_of(near: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) with the components of all links among ``near``."""
+    placed = groups_of(near, threshold)
     every = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
-    pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.col("nodes")) < PIVOTS)
-    own = placed.select("group", "block", "node", "n", "grams")
-    pivots = (placed.filter(pivot).withColumn("block", F.explode(every))
-              .select("group", "block", "node", "n", "grams"))
-    first = written(products(own.union(pivots), ["group", "block"], threshold), "links")
+    pivots = placed.filter("pivot").withColumn("block", F.explode(every))
+    units = placed.select("node", "group", "block").union(pivots.select("node", "group", "block"))
+    first = written(products(near.join(units, "node"), ["group", "block"], threshold), "links")
 
     large = placed.filter("blocks > 1")
     if large.isEmpty():
         return first
     # What is not in its group's largest component meets every block of the group.
-    found = components(first)
-    joined = large.join(found, "node", "left").withColumn(
+    joined = large.join(components(first), "node", "left").withColumn(
         "component", F.coalesce("component", F.col("node")))
     counts = joined.groupBy("group", "component").agg(F.count("*").alias("members"))
     largest = counts.groupBy("group").agg(F.max_by("component", F.struct("members", "component")).alias("largest"))
     left = written(joined.join(largest, "group").withColumn("rest", F.col("component") != F.col("largest")),
                    "components")
-    rest_blocks = left.filter("rest").select("group", F.col("block").alias("i")).distinct()
-    rest = (left.filter("rest").withColumn("i", F.col("block")).withColumn("j", F.explode(every))
-            .select("group", "i", "j", "node", "n", "grams"))
-    all_rows = (left.withColumnRenamed("block", "j").join(rest_blocks, "group")
-                .select("group", "i", "j", "node", "n", "grams"))
-    return first.union(written(products(rest.union(all_rows), ["group", "i", "j"], threshold), "links"))
+    rest = left.filter("rest").withColumn("i", F.col("block")).withColumn("j", F.explode(every))
+    blocks_of_rest = left.filter("rest").select("group", F.col("block").alias("i")).distinct()
+    whole = left.withColumnRenamed("block", "j").join(blocks_of_rest, "group")
+    pairs = rest.select("node", "group", "i", "j").union(whole.select("node", "group", "i", "j"))
+    return first.union(written(products(near.join(pairs, "node"), ["group", "i", "j"], threshold), "links"))
 
 
 def placed_nodes(docs: DataFrame, words: int, threshold: int) -> tuple[DataFrame, DataFrame]:
