@@ -3,10 +3,10 @@
 1. Every document becomes the set of 64-bit hashes of its n-grams. Documents with equal sets are one
    node, keyed by the hash of the set.
 2. The incidence of nodes and n-grams is cut into column blocks by n-gram. A block counts nodes per
-   n-gram and keeps the n-grams of two or more. A node with fewer than ``threshold`` of its n-grams
+   n-gram and keeps the n-grams of two or more, with the count (up to 127) before 56 bits of the hash. A node with fewer than ``threshold`` of its n-grams
    among those can't have a partner and is dropped: that leaves the near copies.
 3. A partner must share one of a node's first ``n - ceil(threshold * n) + 1`` n-grams, in the order
-   (unshared first, then by hash). Nodes joined by such n-grams, directly or not, form a group;
+   (rarest first, then by hash). Nodes joined by such n-grams, directly or not, form a group;
    links never leave it.
 4. Inside a group, rows are multiplied in blocks: overlap counts of all pairs of a block whose sizes
    allow a link. Large groups run in two steps: every block by itself together with the group's pivots,
@@ -34,6 +34,7 @@ BLOCK_GRAMS = 1 << 21     # n-grams of a column block, about
 FLUSH_GRAMS, FLUSH_DOCS = 1 << 22, 60_000
 BLOCK_NODES, BLOCK_CELLS = 512, 1 << 20  # nodes and n-grams of a row block, about
 PIVOTS = 32
+LOCAL_HOT, HOT = 16, 127  # nodes of an n-gram: in one task, to bypass its block; highest count kept
 COLUMNS = 2048
 KNOWN = np.uint16(65535)
 MEMO_WORDS = 500_000
@@ -62,7 +63,7 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
         return np.empty(0, np.uint64)
     hashes = np.fromiter(map(word_hashes().__getitem__, tokens), np.uint64, len(tokens))
     size = min(words, len(tokens))
-    out = np.full(len(tokens) - size + 1, np.uint64(size) * MULTIPLIERS[-1])
+    out = np.full(len(tokens) - size + 1, np.uint64(size)) * MULTIPLIERS[-1]
     for k in range(size):
         out += hashes[k:len(tokens) - size + 1 + k] * MULTIPLIERS[k]
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
@@ -100,8 +101,8 @@ INCIDENCE = "block bigint, nodes binary, grams binary, at binary"
 
 
 def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
-    """Rows of the column blocks. An n-gram of several nodes of a task counts as shared already: its
-    block hears of it once, and its nodes go straight to block ``blocks + node % blocks``."""
+    """Rows of the column blocks. What a task sends for one n-gram is bounded: of an n-gram that is very
+    common in the task its block hears once, and its nodes go to block ``blocks + node % blocks``."""
     def start():
         sets, held, seen = [], 0, set()
 
@@ -114,13 +115,14 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
             grams, at = grams[order], at[order]
             first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
             count = np.diff(np.r_[first, len(grams)])
-            lone = np.where(count == 1, at[first], KNOWN)
+            common = np.repeat(count > LOCAL_HOT, count)
+            told = ~common
+            told[first] = True
             # Blocks are ranges of the hash, so what is sorted in a block has its high bits in common.
-            block = ((grams[first] >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-            yield from rows(nodes, grams[first], lone, block.astype(np.int64))
-            shared = np.repeat(count > 1, count)
-            if shared.any():
-                yield from rows(nodes, grams[shared], at[shared], blocks + nodes[at[shared]] % blocks)
+            block = ((grams[told] >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+            yield from rows(nodes, grams[told], np.where(common, KNOWN, at)[told], block.astype(np.int64))
+            if common.any():
+                yield from rows(nodes, grams[common], at[common], blocks + nodes[at[common]] % blocks)
             sets, held, seen = [], 0, set()
 
         def rows(nodes, grams, at, block):
@@ -173,14 +175,18 @@ def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
         node, known = (np.concatenate(x) for x in zip(*nodes))
         order = np.lexsort((node, grams))
         grams, node, known = grams[order], node[order], known[order]
-        keep = np.ones(len(grams), bool)
+        seen = np.full(len(grams), HOT)
+        keep = ~known
         if parts[0]["block"] < blocks:
+            keep[1:] &= (grams[1:] != grams[:-1]) | (node[1:] != node[:-1]) | known[:-1]
             first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
             run = np.diff(np.r_[first, len(grams)])
-            several = (np.maximum.reduceat(node, first) != np.minimum.reduceat(node, first)) | \
-                np.logical_or.reduceat(known, first)
-            keep = np.repeat(several, run) & ~known
-        grams, node = grams[keep], node[keep]
+            count = np.minimum(np.add.reduceat(keep.astype(np.int64), first), HOT)
+            count[np.logical_or.reduceat(known, first)] = HOT
+            seen = np.repeat(count, run)
+            keep &= seen > 1
+        grams = (seen[keep].astype(np.uint64) << np.uint64(56)) | (grams[keep] >> np.uint64(8))
+        node = node[keep]
         order = np.argsort(node, kind="stable")
         grams, node = grams[order].view(np.int64), node[order]
         first = np.flatnonzero(np.r_[len(node) > 0, node[1:] != node[:-1]]) if len(node) else []
