@@ -97,7 +97,8 @@ def from_planes(data: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
-INCIDENCE = "block bigint, nodes binary, grams binary, at binary"
+#: Incidences of a block: its nodes with their set sizes, and per incidence n-gram and place in ``nodes``.
+INCIDENCE = "block bigint, nodes binary, sizes binary, grams binary, at binary"
 
 
 def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
@@ -109,6 +110,7 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
         def flush():
             nonlocal sets, held, seen
             nodes = np.array([node for node, _ in sets], np.int64)
+            sizes = np.array([len(x) for _, x in sets], np.uint32)
             grams = np.concatenate([x for _, x in sets])
             at = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for _, x in sets])
             order = np.argsort(grams)
@@ -120,12 +122,12 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
             told[first] = True
             # Blocks are ranges of the hash, so what is sorted in a block has its high bits in common.
             block = ((grams[told] >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-            yield from rows(nodes, grams[told], np.where(common, KNOWN, at)[told], block.astype(np.int64))
+            yield from rows(nodes, sizes, grams[told], np.where(common, KNOWN, at)[told], block.astype(np.int64))
             if common.any():
-                yield from rows(nodes, grams[common], at[common], blocks + nodes[at[common]] % blocks)
+                yield from rows(nodes, sizes, grams[common], at[common], blocks + nodes[at[common]] % blocks)
             sets, held, seen = [], 0, set()
 
-        def rows(nodes, grams, at, block):
+        def rows(nodes, sizes, grams, at, block):
             order = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order])) + 1
             for part in np.split(order, cuts):
@@ -135,7 +137,8 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
                     places[at[part] == KNOWN] = KNOWN
                     used = used[:-1]
                 yield {"block": [int(block[part[0]])], "nodes": [nodes[used].tobytes()],
-                       "grams": [planes(grams[part])], "at": [planes(places)]}
+                       "sizes": [sizes[used].tobytes()], "grams": [planes(grams[part])],
+                       "at": [planes(places)]}
 
         def step(batch):
             nonlocal held
@@ -155,29 +158,27 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
     return map_rows(docs.select("text"), INCIDENCE, start)
 
 
-SHARED = "node bigint, grams array<bigint>"
-
-
 def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
-    """Per node and block the n-grams that another node has as well."""
-    schema = arrow_schema(rows.sparkSession, SHARED)
+    """Incidences of the n-grams that several nodes have, with their counts, packed by node: block
+    ``node % blocks`` of the result."""
+    schema = arrow_schema(rows.sparkSession, INCIDENCE)
 
     def count(table: pa.Table) -> pa.Table:
-        parts = table.to_pylist()
-        grams = np.concatenate([from_planes(r["grams"], "<u8") for r in parts])
-        nodes = []
-        for r in parts:
-            own, at = np.frombuffer(r["nodes"], "<i8"), from_planes(r["at"], "<u2")
-            known = at == KNOWN
-            got = np.zeros(len(at), np.int64)
-            got[~known] = own[at[~known]]
-            nodes.append((got, known))
-        node, known = (np.concatenate(x) for x in zip(*nodes))
+        block = table["block"][0].as_py()
+        grams, node, size, known = [], [], [], []
+        for nodes, sizes, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "sizes", "grams", "at"))):
+            at = from_planes(at, "<u2")
+            place = np.where(at == KNOWN, 0, at)
+            grams.append(from_planes(packed, "<u8"))
+            known.append(at == KNOWN)
+            node.append(np.r_[np.frombuffer(nodes, "<i8"), 0][place])
+            size.append(np.r_[np.frombuffer(sizes, "<u4"), np.uint32(0)][place])
+        grams, node, size, known = map(np.concatenate, (grams, node, size, known))
         order = np.lexsort((node, grams))
-        grams, node, known = grams[order], node[order], known[order]
+        grams, node, size, known = grams[order], node[order], size[order], known[order]
         seen = np.full(len(grams), HOT)
         keep = ~known
-        if parts[0]["block"] < blocks:
+        if block < blocks:
             keep[1:] &= (grams[1:] != grams[:-1]) | (node[1:] != node[:-1]) | known[:-1]
             first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
             run = np.diff(np.r_[first, len(grams)])
@@ -186,53 +187,50 @@ def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
             seen = np.repeat(count, run)
             keep &= seen > 1
         grams = (seen[keep].astype(np.uint64) << np.uint64(56)) | (grams[keep] >> np.uint64(8))
-        node = node[keep]
-        order = np.argsort(node, kind="stable")
-        grams, node = grams[order].view(np.int64), node[order]
-        first = np.flatnonzero(np.r_[len(node) > 0, node[1:] != node[:-1]]) if len(node) else []
-        offsets = np.r_[first, len(node)].astype(np.int32)
-        return pa.Table.from_arrays(
-            [pa.array(node[offsets[:-1]]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams))],
-            names=["node", "grams"]).cast(schema)
-
-    return rows.groupBy("block").applyInArrow(count, SHARED)
+        node, size = node[keep], size[keep]
+        out = {name: [] for name in schema.names}
+        home = node % blocks
+        order = np.argsort(home, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else []:
+            used, first, places = np.unique(node[part], return_index=True, return_inverse=True)
+            out["block"].append(int(home[part[0]]))
+            out["nodes"].append(used.tobytes())
+            out["sizes"].append(size[part][first].tobytes())
+            out["grams"].append(planes(grams[part]))
+            out["at"].append(planes(places.astype(np.uint32)))
+        return pa.table(out, schema=schema)
+
+    return rows.groupBy("block").applyInArrow(count, INCIDENCE)
 
 
 NEAR = "node bigint, n bigint, grams array<bigint>"
 
 
-def gathered(shared: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """Nodes with ``threshold`` percent of their n-grams shared: node, n, those n-grams, sorted. Sizes
-    come along as rows of their own; rows of a node follow one another, so a task holds one node's
-    n-grams at a time."""
-    def start():
-        node, size, parts = None, 0, []
-
-        def done():
-            grams = np.unique(np.concatenate(parts)) if parts else ()
-            if len(grams) * 100 >= size * threshold:
-                yield {"node": [node], "n": [size], "grams": [grams]}
-
-        def step(batch):
-            nonlocal node, size, parts
-            if batch is None:
-                if node is not None:
-                    yield from done()
-                return
-            for key, n, grams in zip(batch["node"].to_pylist(), batch["n"].to_pylist(), batch["grams"]):
-                if key != node and node is not None:
-                    yield from done()
-                    size, parts = 0, []
-                node = key
-                size = max(size, n or 0)
-                if grams.is_valid:
-                    parts.append(np.asarray(grams.values))
-        return step
-
-    none = F.lit(None)
-    rows = shared.select("node", none.cast("bigint").alias("n"), "grams").union(
-        nodes.select("node", "n", none.cast("array<bigint>")))
-    return map_rows(rows.repartition("node").sortWithinPartitions("node"), NEAR, start)
+def gathered(shared: DataFrame, threshold: int) -> DataFrame:
+    """Nodes with ``threshold`` percent of their n-grams shared: node, n, those n-grams, sorted."""
+    schema = arrow_schema(shared.sparkSession, NEAR)
+
+    def gather(table: pa.Table) -> pa.Table:
+        grams, node, size = [], [], []
+        for nodes, sizes, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "sizes", "grams", "at"))):
+            at = from_planes(at, "<u4")
+            grams.append(from_planes(packed, "<u8"))
+            node.append(np.frombuffer(nodes, "<i8")[at])
+            size.append(np.frombuffer(sizes, "<u4")[at])
+        grams, node, size = map(np.concatenate, (grams, node, size))
+        order = np.lexsort((grams, node))
+        grams, node, size = grams[order], node[order], size[order]
+        one = np.r_[True, (grams[1:] != grams[:-1]) | (node[1:] != node[:-1])]
+        grams, node, size = grams[one], node[one], size[one].astype(np.int64)
+        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+        run = np.diff(np.r_[first, len(node)])
+        near = run * 100 >= size[first] * threshold
+        offsets = np.r_[0, np.cumsum(run[near])].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams[np.repeat(near, run)].view(np.int64)))
+        return pa.Table.from_arrays([pa.array(node[first][near]), pa.array(size[first][near]), lists],
+                                    names=schema.names).cast(schema)
+
+    return shared.groupBy("block").applyInArrow(gather, NEAR)
 
 
 def spanning_links(n: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
@@ -294,11 +292,10 @@ def products(rows: DataFrame, unit: list[str], threshold: int) -> DataFrame:
     return rows.groupBy(*unit).applyInArrow(multiply, LINKS)
 
 
-def near_copies(docs: DataFrame, nodes: DataFrame, total: int, words: int, threshold: int) -> DataFrame:
+def near_copies(docs: DataFrame, total: int, words: int, threshold: int) -> DataFrame:
     """Nodes that may have a partner: node, n, their shared n-grams."""
     blocks = max(1, math.ceil(total / BLOCK_GRAMS))
-    return written(gathered(shared_grams(incidence(docs, blocks, words), blocks), nodes, threshold),
-                   "near-copies")
+    return written(gathered(shared_grams(incidence(docs, blocks, words), blocks), threshold), "near-copies")
 
 
 def groups_of(near: DataFrame, threshold: int) -> DataFrame:
@@ -349,10 +346,9 @@ def placed_nodes(docs: DataFrame, words: int, threshold: int) -> tuple[DataFrame
     """(rows as doc_id, node, n), (nodes as node, their smallest doc_id, component)."""
     texts = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))
     meta = written(sizes(texts, words), "sizes")
-    nodes = written(meta.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc"), F.max("n").alias("n")), "nodes")
+    nodes = meta.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc"))
     total = meta.agg(F.sum("n")).first()[0] or 0
-    found = components(links_of(near_copies(texts, nodes, total, words, threshold), threshold))
+    found = components(links_of(near_copies(texts, total, words, threshold), threshold))
     return meta, (nodes.join(found, "node", "left")
                   .select("node", "doc", F.coalesce("component", "node").alias("component")))
 
