@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,17 +89,19 @@ def sizes(docs: DataFrame, words: int) -> DataFrame:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Bytes by significance: sorted values then compress well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+    """Compressed, bytes by significance: the high ones of sorted values repeat."""
+    by_byte = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return zstandard.compress(by_byte.tobytes(), 1)
 
 
 def from_planes(data: bytes, dtype: str) -> np.ndarray:
     size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+    by_byte = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(by_byte.T).view(dtype).ravel()
 
 
-#: Incidences of a block: its nodes with their set sizes, and per incidence n-gram and place in ``nodes``.
-INCIDENCE = "block bigint, nodes binary, sizes binary, grams binary, at binary"
+#: Incidences of a block: its nodes, and per incidence n-gram and place in ``nodes``.
+INCIDENCE = "block bigint, nodes binary, grams binary, at binary"
 
 
 def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
@@ -110,7 +113,6 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
         def flush():
             nonlocal sets, held, seen
             nodes = np.array([node for node, _ in sets], np.int64)
-            sizes = np.array([len(x) for _, x in sets], np.uint32)
             grams = np.concatenate([x for _, x in sets])
             at = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for _, x in sets])
             order = np.argsort(grams)
@@ -122,12 +124,12 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
             told[first] = True
             # Blocks are ranges of the hash, so what is sorted in a block has its high bits in common.
             block = ((grams[told] >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-            yield from rows(nodes, sizes, grams[told], np.where(common, KNOWN, at)[told], block.astype(np.int64))
+            yield from rows(nodes, grams[told], np.where(common, KNOWN, at)[told], block.astype(np.int64))
             if common.any():
-                yield from rows(nodes, sizes, grams[common], at[common], blocks + nodes[at[common]] % blocks)
+                yield from rows(nodes, grams[common], at[common], blocks + nodes[at[common]] % blocks)
             sets, held, seen = [], 0, set()
 
-        def rows(nodes, sizes, grams, at, block):
+        def rows(nodes, grams, at, block):
             order = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order])) + 1
             for part in np.split(order, cuts):
@@ -137,8 +139,7 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
                     places[at[part] == KNOWN] = KNOWN
                     used = used[:-1]
                 yield {"block": [int(block[part[0]])], "nodes": [nodes[used].tobytes()],
-                       "sizes": [sizes[used].tobytes()], "grams": [planes(grams[part])],
-                       "at": [planes(places)]}
+                       "grams": [planes(grams[part])], "at": [planes(places)]}
 
         def step(batch):
             nonlocal held
@@ -165,17 +166,16 @@ def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
 
     def count(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        grams, node, size, known = [], [], [], []
-        for nodes, sizes, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "sizes", "grams", "at"))):
+        grams, node, known = [], [], []
+        for nodes, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "grams", "at"))):
             at = from_planes(at, "<u2")
             place = np.where(at == KNOWN, 0, at)
             grams.append(from_planes(packed, "<u8"))
             known.append(at == KNOWN)
             node.append(np.r_[np.frombuffer(nodes, "<i8"), 0][place])
-            size.append(np.r_[np.frombuffer(sizes, "<u4"), np.uint32(0)][place])
-        grams, node, size, known = map(np.concatenate, (grams, node, size, known))
+        grams, node, known = map(np.concatenate, (grams, node, known))
         order = np.lexsort((node, grams))
-        grams, node, size, known = grams[order], node[order], size[order], known[order]
+        grams, node, known = grams[order], node[order], known[order]
         seen = np.full(len(grams), HOT)
         keep = ~known
         if block < blocks:
@@ -187,15 +187,14 @@ def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
             seen = np.repeat(count, run)
             keep &= seen > 1
         grams = (seen[keep].astype(np.uint64) << np.uint64(56)) | (grams[keep] >> np.uint64(8))
-        node, size = node[keep], size[keep]
+        node = node[keep]
         out = {name: [] for name in schema.names}
         home = node % blocks
         order = np.argsort(home, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else []:
-            used, first, places = np.unique(node[part], return_index=True, return_inverse=True)
+            used, places = np.unique(node[part], return_inverse=True)
             out["block"].append(int(home[part[0]]))
             out["nodes"].append(used.tobytes())
-            out["sizes"].append(size[part][first].tobytes())
             out["grams"].append(planes(grams[part]))
             out["at"].append(planes(places.astype(np.uint32)))
         return pa.table(out, schema=schema)
@@ -206,31 +205,36 @@ def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
 NEAR = "node bigint, n bigint, grams array<bigint>"
 
 
-def gathered(shared: DataFrame, threshold: int) -> DataFrame:
+def gathered(shared: DataFrame, nodes: DataFrame, blocks: int, threshold: int) -> DataFrame:
     """Nodes with ``threshold`` percent of their n-grams shared: node, n, those n-grams, sorted."""
     schema = arrow_schema(shared.sparkSession, NEAR)
 
-    def gather(table: pa.Table) -> pa.Table:
-        grams, node, size = [], [], []
-        for nodes, sizes, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "sizes", "grams", "at"))):
-            at = from_planes(at, "<u4")
+    def gather(table: pa.Table, known: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return schema.empty_table()
+        grams, node = [], []
+        for own, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "grams", "at"))):
             grams.append(from_planes(packed, "<u8"))
-            node.append(np.frombuffer(nodes, "<i8")[at])
-            size.append(np.frombuffer(sizes, "<u4")[at])
-        grams, node, size = map(np.concatenate, (grams, node, size))
+            node.append(np.frombuffer(own, "<i8")[from_planes(at, "<u4")])
+        grams, node = np.concatenate(grams), np.concatenate(node)
         order = np.lexsort((grams, node))
-        grams, node, size = grams[order], node[order], size[order]
+        grams, node = grams[order], node[order]
+        all_nodes, all_sizes = known["node"].to_numpy(), known["n"].to_numpy()
+        by_node = np.argsort(all_nodes)
         one = np.r_[True, (grams[1:] != grams[:-1]) | (node[1:] != node[:-1])]
-        grams, node, size = grams[one], node[one], size[one].astype(np.int64)
+        grams, node = grams[one], node[one]
         first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
         run = np.diff(np.r_[first, len(node)])
-        near = run * 100 >= size[first] * threshold
+        size = all_sizes[by_node[np.searchsorted(all_nodes, node[first], sorter=by_node)]]
+        near = run * 100 >= size * threshold
         offsets = np.r_[0, np.cumsum(run[near])].astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams[np.repeat(near, run)].view(np.int64)))
-        return pa.Table.from_arrays([pa.array(node[first][near]), pa.array(size[first][near]), lists],
+        return pa.Table.from_arrays([pa.array(node[first][near]), pa.array(size[near]), lists],
                                     names=schema.names).cast(schema)
 
-    return shared.groupBy("block").applyInArrow(gather, NEAR)
+    sizes_of = nodes.select(F.pmod("node", F.lit(blocks)).alias("block"), "node", "n")
+    return (shared.groupBy("block").cogroup(sizes_of.groupBy("block"))
+            .applyInArrow(gather, NEAR))
 
 
 def spanning_links(n: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
@@ -292,10 +296,11 @@ def products(rows: DataFrame, unit: list[str], threshold: int) -> DataFrame:
     return rows.groupBy(*unit).applyInArrow(multiply, LINKS)
 
 
-def near_copies(docs: DataFrame, total: int, words: int, threshold: int) -> DataFrame:
+def near_copies(docs: DataFrame, nodes: DataFrame, total: int, words: int, threshold: int) -> DataFrame:
     """Nodes that may have a partner: node, n, their shared n-grams."""
     blocks = max(1, math.ceil(total / BLOCK_GRAMS))
-    return written(gathered(shared_grams(incidence(docs, blocks, words), blocks), threshold), "near-copies")
+    shared = shared_grams(incidence(docs, blocks, words), blocks)
+    return written(gathered(shared, nodes, blocks, threshold), "near-copies")
 
 
 def groups_of(near: DataFrame, threshold: int) -> DataFrame:
@@ -346,9 +351,10 @@ def placed_nodes(docs: DataFrame, words: int, threshold: int) -> tuple[DataFrame
     """(rows as doc_id, node, n), (nodes as node, their smallest doc_id, component)."""
     texts = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))
     meta = written(sizes(texts, words), "sizes")
-    nodes = meta.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc"))
+    nodes = meta.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("doc"), F.max("n").alias("n"))
     total = meta.agg(F.sum("n")).first()[0] or 0
-    found = components(links_of(near_copies(texts, total, words, threshold), threshold))
+    found = components(links_of(near_copies(texts, nodes, total, words, threshold), threshold))
     return meta, (nodes.join(found, "node", "left")
                   .select("node", "doc", F.coalesce("component", "node").alias("component")))
 
