@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import jaccard_join, packing, pivot_search, secret_scan, token_counts, token_output
+from millrace.llm import (
+    fingerprints, jaccard_join, packing, piece_encoding, pivot_search, secret_scan, token_counts, token_output,
+)
 from millrace.llm.common import read, scratch
 from millrace.llm.tokenizing import tokenizer_path
 
@@ -31,6 +33,12 @@ def op2_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
 
 
+@register
+def op3_piece_encoding(spark, sf_dir):
+    return piece_encoding.encode_documents(read(spark, sf_dir, "documents"),
+                                           tokenizer_path("piece_bpe_32k.model"))
+
+
 @register
 def op4_pivot_topk(spark, sf_dir):
     return pivot_search.pivot_top_k(read(spark, sf_dir, "embeddings"),
@@ -42,6 +50,11 @@ def op5_secret_scan(spark, sf_dir):
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+@register
+def op6_threshold_sketch(spark, sf_dir):
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
 @register
 def op7_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"),
