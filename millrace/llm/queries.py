@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    fingerprints, jaccard_join, packing, piece_encoding, pivot_search, secret_scan, token_counts, token_output,
+    fingerprints, jaccard_join, packing, piece_encoding, pivot_search, ppm, secret_scan, token_counts,
+    token_output, toxicity,
 )
 from millrace.llm.common import read, scratch
 from millrace.llm.tokenizing import tokenizer_path
@@ -61,6 +62,16 @@ def op7_best_fit_packing(spark, sf_dir):
                                   tokenizer_path("byte_bpe_50k.json"), end_id=1, capacity=2048)
 
 
+@register
+def op8_ppm_scoring(spark, sf_dir):
+    return ppm.score_documents(read(spark, sf_dir, "documents"))
+
+
+@register
+def op9_toxicity(spark, sf_dir):
+    return toxicity.predictions(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @register
 def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read(spark, sf_dir, "documents"),
