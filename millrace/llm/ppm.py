@@ -87,7 +87,7 @@ def context_trie(grams: DataFrame, max_contexts: int) -> dict[bytes, tuple[bytes
                     "contexts")
     by_total = nodes.groupBy("total").count().orderBy(F.desc("total"))
     least, held = 1, 0
-    for r in by_total.limit(max_contexts).toLocalIterator():  # no more totals than contexts are needed
+    for r in by_total.limit(max_contexts + 1).toLocalIterator():  # no more totals than contexts matter
         held += r["count"]
         if held > max_contexts:
             least = r["total"] + 1
