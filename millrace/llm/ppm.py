@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import map_rows, whole_text, written
 
-ORDER = 5
+ORDER = 4
 MAX_CONTEXTS = 150_000
-FREQUENT = 100_000    # words of a share of at least one in this many are broadcast: so many at most
+FREQUENT = 1_000_000  # words of a share of at least one in this many are broadcast: so many at most
 FREQUENT_BYTES = 64
 FLUSH = 400_000
-MEMO = 300_000
+MEMO = 700_000
 BLANK, END = b" ", b"\n"  # no word holds white space
 VOCABULARY = "word binary, n bigint"
 PARTS = ("row bigint, doc_id bigint, held_out boolean, word binary, n bigint, n_tokens bigint, "
@@ -103,8 +103,15 @@ class Scorer:
         self.trie, self.order = trie, order
         self.steps: dict[bytes, float] = {}
         self.words: dict[bytes, float] = {}
+        self.bases: dict[bytes, float] = {}
         self.end = self.step(BLANK + END)
 
+    def base(self, counts: dict[bytes, int], room: int) -> dict[bytes, float]:
+        """log10 of the base probabilities of words with known counts."""
+        if not self.bases:
+            self.bases = {word: math.log10((n + 1) / room) for word, n in counts.items()}
+        return self.bases
+
     def step(self, gram: bytes) -> float:
         """log10 P(last byte | the bytes before it)."""
         symbol, excluded, total = gram[-1], b"", 0.0
@@ -177,8 +184,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX
 
     def start():
         model = scorer(model_key, lambda: trie.value, order)
-        known, first = common.value, TaskContext.get().partitionId() << 32
-        log10, done = math.log10, 0
+        first, done, scores = TaskContext.get().partitionId() << 32, 0, model.words
+        known = model.base(common.value, room)
 
         def step(batch):
             nonlocal done
@@ -186,29 +193,31 @@ def score_documents(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX
                 return
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                out = {name.split()[0]: [] for name in PARTS.split(", ")}
-                columns = list(out.values())
+                rare_row, rare_word, rare_n, own = [], [], [], []
                 for doc_id, held_out, text in zip(*(part[c].to_pylist() for c in ("doc_id", "held_out", "text"))):
                     row, n_known, base, score, n_tokens = first + done, 0, 0.0, model.end, 1
                     done += 1
                     counts = Counter(words_of(text))
-                    counts[END] = 1
                     for word, n in counts.items():
-                        if word != END:
-                            score += n * model.word(word)
-                            n_tokens += n
-                        c = known.get(word)
-                        if c is not None:
-                            n_known += n
-                            base += n * log10((c + 1) / room)
-                        else:  # its count is joined in
-                            for column, value in zip(columns, (row, None, None, word, n, None, None, None, None)):
-                                column.append(value)
-                    # The document's own row: its key is no word and spreads over the join.
-                    for column, value in zip(columns, (row, doc_id, held_out, END + row.to_bytes(8, "big"), 0,
-                                                       n_tokens, n_known, base, score)):
-                        column.append(value)
-                yield out
+                        score += n * (scores.get(word) or model.word(word))
+                    n_tokens += counts.total()
+                    counts[END] = 1
+                    rare = counts.keys() - known.keys()
+                    for word in counts.keys() - rare:
+                        n = counts[word]
+                        n_known += n
+                        base += n * known[word]
+                    # The counts of the others are joined in.
+                    rare_row += [row] * len(rare)
+                    rare_word += rare
+                    rare_n += map(counts.__getitem__, rare)
+                    own.append((row, doc_id, held_out, END + row.to_bytes(8, "big"), 0, n_tokens, n_known, base, score))
+                # A document's own row has a key that is no word and spreads over the join.
+                rows_, ids, held, keys, zeros, *sums_ = map(list, zip(*own))
+                none = [None] * len(rare_row)
+                yield dict(zip([x.split()[0] for x in PARTS.split(", ")], (
+                    rare_row + rows_, none + ids, none + held, rare_word + keys, rare_n + zeros,
+                    *(none + x for x in sums_))))
         return step
 
     model_key = uuid.uuid4().hex
