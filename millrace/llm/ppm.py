@@ -202,11 +202,14 @@ def score_documents(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX
                         score += n * (scores.get(word) or model.word(word))
                     n_tokens += counts.total()
                     counts[END] = 1
-                    rare = counts.keys() - known.keys()
-                    for word in counts.keys() - rare:
-                        n = counts[word]
-                        n_known += n
-                        base += n * known[word]
+                    rare = []
+                    for word, n in counts.items():
+                        share = known.get(word)
+                        if share is None:
+                            rare.append(word)
+                        else:
+                            n_known += n
+                            base += n * share
                     # The counts of the others are joined in.
                     rare_row += [row] * len(rare)
                     rare_word += rare
