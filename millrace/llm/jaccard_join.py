@@ -38,7 +38,7 @@ PIVOTS = 32
 LOCAL_HOT, HOT = 16, 127  # nodes of an n-gram: in one task, to bypass its block; highest count kept
 COLUMNS = 2048
 KNOWN = np.uint16(65535)
-MEMO_WORDS = 500_000
+MEMO_WORDS = 300_000
 # Fixed odd multipliers, one per word of a shingle and one for the number of words.
 MULTIPLIERS = np.random.default_rng(20).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -27,7 +28,7 @@ STEM_LENGTHS = range(4, 8)
 FUZZY_LENGTH, MISSPELT = 5, 0.7
 WINDOW = 4
 THRESHOLD = 0.7
-MEMO = 400_000
+MEMO = 200_000
 WORD = re.compile(r"[^\W_]+")
 # Signs of quotation, report and address, English, German, French and Spanish.
 QUOTES = "\"“”„«»‘’"
@@ -55,13 +56,14 @@ class Lexicon:
                 node = node.setdefault(letter, {})
             node[""] = term
         # One edit leaves a term's first or second half as it is: few words need the automaton.
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[int, set[str]] = {}
+        self.heads: dict[int, set[tuple[str, int]]] = {}
+        self.tails: dict[int, set[tuple[str, int]]] = {}
         for term in self.terms:
             if len(term) >= FUZZY_LENGTH:
                 half = len(term) // 2
-                self.heads.setdefault(half, set()).add(term[:half])
-                self.tails.setdefault(len(term) - half, set()).add(term[half:])
+                for length in (len(term) - 1, len(term), len(term) + 1):
+                    self.heads.setdefault(half, set()).add((term[:half], length))
+                    self.tails.setdefault(len(term) - half, set()).add((term[half:], length))
         self.memo: dict[str, float] = {}
 
     def near_terms(self, word: str, most: int) -> list[tuple[int, str]]:
@@ -92,8 +94,9 @@ class Lexicon:
                 return self.stems[word[:length]]
         if len(word) < FUZZY_LENGTH or len(word) > 30 or word in self.lookalikes:
             return 0.0
-        if any(word[:k] in halves for k, halves in self.heads.items()) or any(
-                word[-k:] in halves for k, halves in self.tails.items()):
+        n = len(word)
+        if any((word[:k], n) in halves for k, halves in self.heads.items()) or any(
+                (word[-k:], n) in halves for k, halves in self.tails.items()):
             for edits, term in self.near_terms(word, 1):
                 if len(term) >= FUZZY_LENGTH:
                     return self.terms[term] * MISSPELT ** edits
@@ -137,10 +140,21 @@ def inputs_of(words: int, hits: list[tuple[float, float]]) -> list[float]:
     return [1.0, math.log1p(total), math.log1p(100 * total / max(words, 20)), float(total > 0)]
 
 
+_MODELS: dict[str, "Model"] = {}
+
+
 @dataclass
 class Model:
     lexicon: Lexicon
     coefficients: list[float]
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def local(self) -> "Model":
+        """This model as the worker process first got it: what its words weigh is remembered across tasks."""
+        if self.key not in _MODELS:
+            _MODELS.clear()
+            _MODELS[self.key] = self
+        return _MODELS[self.key]
 
     def score(self, text: str) -> tuple[float, int, int]:
         words, hits = self.lexicon.hits(text)
@@ -158,16 +172,22 @@ def feature_counts(sample: DataFrame) -> DataFrame:
     def start():
         counts = {0: Counter(), 1: Counter()}
 
+        def emptied():
+            keys = list(counts[0].keys() | counts[1].keys())
+            if keys:
+                yield {"feature": keys, "toxic": [counts[1][k] for k in keys], "other": [counts[0][k] for k in keys]}
+            counts[0].clear()
+            counts[1].clear()
+
         def step(batch):
-            if batch is not None:
-                for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
+            for at in range(0, batch.num_rows if batch is not None else 0, 64):
+                part = batch.slice(at, 64)
+                for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist()):
                     counts[toxic].update(features_of(text))
-            if sum(map(len, counts.values())) > MEMO or batch is None:
-                keys = list(counts[0].keys() | counts[1].keys())
-                if keys:
-                    yield {"feature": keys, "toxic": [counts[1][k] for k in keys], "other": [counts[0][k] for k in keys]}
-                for c in counts.values():
-                    c.clear()
+                if sum(map(len, counts.values())) > MEMO:
+                    yield from emptied()
+            if batch is None:
+                yield from emptied()
         return step
     return map_rows(sample, FEATURES, start).groupBy("feature").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
@@ -242,9 +262,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, score, n_hits, n_quoted. Null texts count as empty; every row keeps its row."""
     def start():
+        own = model.local()
+
         def step(batch):
             if batch is not None and batch.num_rows:
-                got = [model.score(t) for t in batch["text"].to_pylist()]
+                got = [own.score(t) for t in batch["text"].to_pylist()]
                 yield dict(zip(("score", "n_hits", "n_quoted"), zip(*got)), doc_id=batch["doc_id"].to_pylist())
         return step
     return map_rows(docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text")), SCORES, start)
@@ -262,5 +284,6 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows scored below the threshold; rows without a text stay."""
     @F.pandas_udf("double")
     def score(texts):
-        return texts.map(lambda t: model.score(t)[0])
+        own = model.local()
+        return texts.map(lambda t: own.score(t)[0])
     return docs.filter(F.col("text").isNull() | (score(whole_text()) < THRESHOLD))
