@@ -29,6 +29,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What a worker process remembers from task to task: one thing at a time, so that memories of
+    different operators don't add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def whole_text(column: str = "text") -> "F.Column":
     """The text, null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

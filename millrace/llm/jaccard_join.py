@@ -17,7 +17,6 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import arrow_schema, map_rows, whole_text, written
+from millrace.llm.common import arrow_schema, kept, map_rows, whole_text, written
 from millrace.llm.components import components
 
 WORDS, THRESHOLD = 5, 75  # a shingle's words; percent
@@ -51,10 +50,9 @@ class WordHashes(dict):
         return value
 
 
-@lru_cache(maxsize=1)
 def word_hashes() -> WordHashes:
     """One per worker process."""
-    return WordHashes()
+    return kept("word hashes", WordHashes)
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:

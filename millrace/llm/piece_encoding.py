@@ -11,13 +11,12 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, whole_text
+from millrace.llm.common import kept, map_rows, whole_text
 
 MARKER = "▁"
 STRETCH = re.compile(r" *[^ ]+| +")
@@ -154,10 +153,9 @@ class Pieces:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
-@lru_cache(maxsize=2)
 def pieces(model: str) -> Pieces:
     """One per worker process."""
-    return Pieces(model)
+    return kept(("pieces", model), lambda: Pieces(model))
 
 
 def encode_documents(docs: DataFrame, model: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, whole_text, written
+from millrace.llm.common import kept, map_rows, whole_text, written
 
 ORDER = 4
 MAX_CONTEXTS = 150_000
@@ -153,17 +153,6 @@ class Scorer:
         return known
 
 
-_SCORERS: dict = {}
-
-
-def scorer(key, trie_of, order: int) -> Scorer:
-    """One per worker process and model."""
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(trie_of(), order)
-    return _SCORERS[key]
-
-
 def score_documents(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
                     frequent: int = FREQUENT) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
@@ -183,7 +172,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX
         (F.col("n") * frequent >= tokens) & (F.octet_length("word") <= FREQUENT_BYTES)).toLocalIterator()})
 
     def start():
-        model = scorer(model_key, lambda: trie.value, order)
+        model = kept(("ppm", model_key), lambda: Scorer(trie.value, order))
         first, done, scores = TaskContext.get().partitionId() << 32, 0, model.words
         known = model.base(common.value, room)
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 import re
 import struct
-from functools import lru_cache
+
+from millrace.llm.common import kept
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one Spark task is one core
 
@@ -100,10 +101,9 @@ class Encoder:
         return b"".join(map(self.memo.__getitem__, parts))
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder per worker process; its memory is kept from task to task."""
-    return Encoder(path)
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def tokenizer_path(name: str) -> str:

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, whole_text, written
+from millrace.llm.common import kept, map_rows, whole_text, written
 
 SAMPLE = 16_000     # most labelled training rows that the model is fitted on, half of each label
 MAX_TERMS = 2_000   # most terms and stems
@@ -140,9 +140,6 @@ def inputs_of(words: int, hits: list[tuple[float, float]]) -> list[float]:
     return [1.0, math.log1p(total), math.log1p(100 * total / max(words, 20)), float(total > 0)]
 
 
-_MODELS: dict[str, "Model"] = {}
-
-
 @dataclass
 class Model:
     lexicon: Lexicon
@@ -151,10 +148,7 @@ class Model:
 
     def local(self) -> "Model":
         """This model as the worker process first got it: what its words weigh is remembered across tasks."""
-        if self.key not in _MODELS:
-            _MODELS.clear()
-            _MODELS[self.key] = self
-        return _MODELS[self.key]
+        return kept(("toxicity", self.key), lambda: self)
 
     def score(self, text: str) -> tuple[float, int, int]:
         words, hits = self.lexicon.hits(text)
