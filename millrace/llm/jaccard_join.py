@@ -31,13 +31,13 @@ from millrace.llm.components import components
 
 WORDS, THRESHOLD = 5, 75  # a shingle's words; percent
 BLOCK_GRAMS = 1 << 21     # n-grams of a column block, about
-FLUSH_GRAMS, FLUSH_DOCS = 1 << 22, 60_000
+FLUSH_GRAMS, FLUSH_DOCS = 1 << 21, 60_000
 BLOCK_NODES, BLOCK_CELLS = 512, 1 << 20  # nodes and n-grams of a row block, about
 PIVOTS = 32
 LOCAL_HOT, HOT = 16, 127  # nodes of an n-gram: in one task, to bypass its block; highest count kept
 COLUMNS = 2048
 KNOWN = np.uint16(65535)
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 # Fixed odd multipliers, one per word of a shingle and one for the number of words.
 MULTIPLIERS = np.random.default_rng(20).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
