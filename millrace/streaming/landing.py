@@ -13,6 +13,8 @@ from millrace.sources.sinks import overwrite_table, replace_partitions
 
 # Bounds one micro-batch, so that a large backlog is loaded in restartable steps.
 MAX_BYTES_PER_BATCH = 1024 ** 4
+# Spark drops files a week older than the newest; a delivery that keeps old times must not be lost.
+MAX_FILE_AGE = "36500d"
 
 
 def landing_stream(spark: SparkSession, layout: Layout, name: str,
@@ -21,6 +23,7 @@ def landing_stream(spark: SparkSession, layout: Layout, name: str,
     return (spark.readStream.schema(BRONZE_SCHEMAS[name])
             .option("recursiveFileLookup", "true")
             .option("maxBytesPerTrigger", max_bytes)
+            .option("maxFileAge", MAX_FILE_AGE)
             .parquet(layout.landing(name)))
 
 

@@ -76,3 +76,15 @@ def test_snapshot_is_replaced(spark, layout):
 def test_no_bronze_rows_is_an_error(spark, layout):
     with pytest.raises(FileNotFoundError):
         scan_bronze(spark, layout, "transactions")
+
+
+def test_files_with_old_times_are_loaded(spark, layout):
+    deliver(spark, layout, "new", [("1", "2024-01-01")])
+    ingest_landing(spark, layout, "transactions")
+    deliver(spark, layout, "old", [("2", "2023-01-01")])
+    folder = f"{layout.landing('transactions')}/old"
+    for name in os.listdir(folder):
+        path = f"{folder}/{name}"
+        os.utime(path, (os.path.getmtime(path) - 10 * 86400,) * 2)
+    ingest_landing(spark, layout, "transactions")
+    assert [key for key, _ in loaded(spark, layout)] == ["1", "2"]

@@ -7,10 +7,12 @@ import pytest
 import __spark_entry__ as entry
 from helpers import plan_of
 from verification.compare import arrow_types, oracle_connection, oracle_rows, spark_rows
+from verification.oracle import oracles
+from verification.registry import REGISTRY
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
-KEYS = sorted(entry.queries())
+KEYS = sorted(REGISTRY)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,8 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert KEYS == sorted(entry.oracle_sql())
+    assert KEYS == sorted(oracles())
+    assert set(KEYS) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
