@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +40,8 @@ def control_totals_spine(control: DataFrame, start: date, end: date) -> DataFram
 
 
 def completeness_daily(clicks: DataFrame, control: DataFrame, start: date, end: date,
-                       threshold: float = THRESHOLD, max_days: int | None = None) -> DataFrame:
-    """Expected and actual totals per day, both rates, and whether both reach the threshold.
-
-    ``max_days`` shortens a long range for a trial check.
-    """
-    if max_days is not None:
-        end = min(end, start + timedelta(days=max_days - 1))
+                       threshold: float = THRESHOLD) -> DataFrame:
+    """Expected and actual totals per day, both rates, and whether both reach the threshold."""
     actual = daily_visitors_hits(within_dates(clicks, start, end))
     hit_rate = rounded_ratio(F.col("num_of_hitid"), F.col("hits_num"), 4).cast(RATE)
     visitor_rate = rounded_ratio(F.col("num_of_visid"), F.col("visitors_num"), 4).cast(RATE)

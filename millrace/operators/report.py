@@ -7,7 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.expressions import MONEY, month_end_cutoff, month_label, rounded_ratio
+from millrace.functions.expressions import (
+    MONEY, MONTH_LABELS, month_end_cutoff, month_label, rounded_ratio,
+)
 
 
 def complete_months(gold: DataFrame, as_of: date | None = None,
@@ -57,3 +59,9 @@ def sales_report(gold: DataFrame, products: DataFrame, product_id: str | None =
             .orderBy("product_id", "year", "month")
             .select("product_name", "year", month_label(F.col("month")).alias("aliased_month"),
                     "total_sales", "MoM_growth", "MoM_pct_growth"))
+
+
+def order_report(report: DataFrame) -> DataFrame:
+    """A saved report by product name and month; files keep no order."""
+    months = F.array(*[F.lit(name) for name in MONTH_LABELS])
+    return report.orderBy("product_name", "year", F.array_position(months, F.col("aliased_month")))

@@ -38,7 +38,7 @@ def silver_products(products: DataFrame, loaded_at: datetime | None = None) -> D
 
 def explode_items(transactions: DataFrame) -> DataFrame:
     """One row per item of an order; orders without items give none."""
-    return transactions.selectExpr("*", "explode(items) as product_id")
+    return transactions.withColumn("product_id", F.explode("items"))
 
 
 def silver_transactions(transactions: DataFrame, products: DataFrame,

@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.completeness import MAX_FAILING_DAYS, THRESHOLD
 from millrace.operators.incremental import date_bounds
+from millrace.operators.report import order_report
 from millrace.plans.loads import (
-    load_clickstream, load_products, load_transactions, load_users, refresh_gold, report_of,
+    load_clickstream, load_products, load_transactions, load_users, refresh_gold,
     watermark_of, write_report,
 )
 from millrace.plans.quality import log_transaction_checks, repair_clickstream
+from millrace.plans.state import State, last_batch, late_days, record, state_of
 from millrace.session import require_settings
 from millrace.sources.layout import Layout, run_stamp
 from millrace.sources.schemas import FACT_TABLES, SNAPSHOT_TABLES
-from millrace.sources.tables import scan_bronze
+from millrace.sources.sinks import overwrite_table
+from millrace.sources.tables import scan_bronze, scan_table
 from millrace.streaming.landing import ingest_landing, ingest_snapshot
 
 
@@ -36,35 +39,75 @@ class PipelineConfig:
 
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    """Run every step once and return the report, which is also saved under the run's stamp."""
+    """Run every step once and return the report saved under the run's stamp.
+
+    Days at or before a table's watermark that were delivered since the last finished run are
+    logged, and silver and gold are rewritten from the earliest of them.
+    """
     layout, fmt, at = config.layout, config.fmt, config.run_at
     require_settings(spark)
     for name in SNAPSHOT_TABLES:
         ingest_snapshot(spark, layout, name, fmt)
+    states, reload_after = {}, {}
     for name in FACT_TABLES:
         ingest_landing(spark, layout, name)
+        states[name] = state_of(spark, layout, name)
+        reload_after[name] = log_late_days(spark, config, name, states[name])
 
-    clicks_mark = watermark_of(spark, layout.table("silver", "clickstream"), fmt)
+    checked_to = states["clickstream"].checked_to
     if config.control is not None:
-        check_new_clicks(spark, config, clicks_mark)
+        checked_to = check_clicks(spark, config, checked_to)
     log_transaction_checks(spark, layout, at, fmt)
 
     load_users(spark, layout, at, fmt)
     load_products(spark, layout, at, fmt)
-    load_clickstream(spark, layout, at, fmt=fmt)
-    load_transactions(spark, layout, at, fmt=fmt)
-    refresh_gold(spark, layout, fmt=fmt)
+    if has_bronze(spark, layout, "clickstream"):
+        load_clickstream(spark, layout, at, after=reload_after["clickstream"], fmt=fmt)
+    load_transactions(spark, layout, at, after=reload_after["transactions"], fmt=fmt)
+    refresh_gold(spark, layout, after=reload_after["transactions"], fmt=fmt)
 
     write_report(spark, layout, run_stamp(at), config.product_id, config.as_of, fmt)
-    return report_of(spark, layout, config.product_id, config.as_of, fmt)
-
-
-def check_new_clicks(spark: SparkSession, config: PipelineConfig, mark: date | None) -> None:
-    """Check, and repair where possible, the click days silver does not hold yet."""
-    clicks = scan_bronze(spark, config.layout, "clickstream")
-    fresh = clicks if mark is None else clicks.filter(clicks.utc_date > mark)
-    bounds = date_bounds(fresh).first()
-    if bounds["min_date"] is not None:
-        repair_clickstream(spark, config.layout, config.control, bounds["min_date"],
-                           bounds["max_date"], config.run_at, config.attempts,
-                           config.threshold, config.max_failing_days, config.fmt)
+    for name in FACT_TABLES:
+        record(spark, layout, name, at, State(
+            last_batch(spark, layout, name), checked_to if name == "clickstream" else None))
+    return order_report(scan_table(spark, layout.report(run_stamp(at)), fmt))
+
+
+def has_bronze(spark: SparkSession, layout: Layout, name: str) -> bool:
+    try:
+        scan_bronze(spark, layout, name)
+    except FileNotFoundError:
+        return False
+    return True
+
+
+def log_late_days(spark: SparkSession, config: PipelineConfig, name: str,
+                  state: State) -> date | None:
+    """Log the late days; returns the day before the earliest, None where nothing is late."""
+    mark = watermark_of(spark, config.layout.table("silver", name), config.fmt)
+    if mark is None:
+        return None
+    path = f"{config.layout.qa(name, 'late')}/{run_stamp(config.run_at)}"
+    overwrite_table(late_days(spark, config.layout, name, state.loaded_batch, mark),
+                    path, config.fmt)
+    first = date_bounds(scan_table(spark, path, config.fmt)).first()["min_date"]
+    return None if first is None else first - timedelta(days=1)
+
+
+def check_clicks(spark: SparkSession, config: PipelineConfig, checked_to: date | None) -> date | None:
+    """Check, and repair where possible, every day up to the day before the run.
+
+    The first day is the one after the last checked, else after silver's watermark, else the first
+    one with expected totals. Days without a single click are checked like others. Returns the last
+    day checked so far.
+    """
+    end = config.run_at.date() - timedelta(days=1)
+    known = checked_to or watermark_of(
+        spark, config.layout.table("silver", "clickstream"), config.fmt)
+    start = (date_bounds(config.control).first()["min_date"] if known is None
+             else known + timedelta(days=1))
+    if start is None or start > end:
+        return checked_to
+    repair_clickstream(spark, config.layout, config.control, start, end, config.run_at,
+                       config.attempts, config.threshold, config.max_failing_days, config.fmt)
+    return end

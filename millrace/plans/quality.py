@@ -15,11 +15,9 @@ from millrace.operators.incremental import date_bounds, within_dates
 from millrace.operators.repair import gather_attempts, qa_repair_log, repair_delta
 from millrace.operators.transaction_checks import transaction_checks
 from millrace.sources.layout import Layout, run_stamp
+from millrace.sources.schemas import BRONZE_SCHEMAS
 from millrace.sources.sinks import append_rows, overwrite_table
-from millrace.sources.tables import scan_bronze, scan_glob, scan_table
-
-# Fixed value: refetches tried before a range is reported as incomplete.
-MAX_REFETCHES = 2
+from millrace.sources.tables import scan_bronze, scan_refetch, scan_table
 
 
 def log_daily(spark: SparkSession, daily: DataFrame, path: str, fmt: str) -> DataFrame:
@@ -38,7 +36,8 @@ def repair_clickstream(spark: SparkSession, layout: Layout, control: DataFrame,
                        fmt: str = "parquet") -> bool:
     """Check bronze clicks of ``[start, end]``; while incomplete, take in the next refetch.
 
-    ``attempts`` are folders of refetched files, used in order and only as far as needed.
+    ``attempts`` are folders of refetched files, used in order and only as far as needed; all of
+    them may be needed, and an empty or absent one adds nothing.
     Rows they add go to bronze once, under a folder of this run (a rerun replaces it), and the
     log compares the days before and after. Returns whether the range is complete.
 
@@ -46,15 +45,20 @@ def repair_clickstream(spark: SparkSession, layout: Layout, control: DataFrame,
     rows are shuffled only once, for the rows to add.
     """
     folder, run_id = layout.qa_log("clickstream", at), f"r{run_stamp(at)}"
-    base = within_dates(scan_bronze(spark, layout, "clickstream", without_run=run_id), start, end)
+    try:
+        bronze = scan_bronze(spark, layout, "clickstream", without_run=run_id)
+    except FileNotFoundError:
+        bronze = spark.createDataFrame([], BRONZE_SCHEMAS["clickstream"])
+    base = within_dates(bronze, start, end)
     initial = log_daily(spark, completeness_daily(base, control, start, end, threshold),
                         f"{folder}/initial", fmt)
     complete, final = is_complete(initial, max_failing_days), initial
     used: list[DataFrame] = []
-    for attempt in attempts[:MAX_REFETCHES]:
+    for attempt in attempts:
         if complete:
             break
-        used.append(within_dates(scan_glob(spark, f"{attempt}/*"), start, end))
+        used.append(within_dates(scan_refetch(spark, attempt, BRONZE_SCHEMAS["clickstream"]),
+                                 start, end))
         gathered = gather_attempts(base, *used)
         final = log_daily(spark, completeness_daily(gathered, control, start, end, threshold),
                           f"{folder}/after{len(used)}", fmt)
@@ -68,15 +72,14 @@ def repair_clickstream(spark: SparkSession, layout: Layout, control: DataFrame,
 
 
 def check_history(spark: SparkSession, layout: Layout, control: DataFrame,
-                  threshold: float = THRESHOLD, max_days: int | None = None,
-                  fmt: str = "parquet") -> DataFrame | None:
+                  threshold: float = THRESHOLD, fmt: str = "parquet") -> DataFrame | None:
     """Completeness of every day between the first and last day silver holds."""
     silver = scan_table(spark, layout.table("silver", "clickstream"), fmt)
     bounds = date_bounds(silver, "date").first()
     if bounds["min_date"] is None:
         return None
     return completeness_daily(scan_bronze(spark, layout, "clickstream"), control,
-                              bounds["min_date"], bounds["max_date"], threshold, max_days)
+                              bounds["min_date"], bounds["max_date"], threshold)
 
 
 def log_transaction_checks(spark: SparkSession, layout: Layout, at: datetime,

@@ -63,6 +63,18 @@ def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names, else (local runs) a new one."""
+    """Folder for intermediate tables: the one the cluster names, else (local master only) a new one.
+
+    On a cluster a folder of one machine would be a different one for every executor.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else tempfile.mkdtemp(prefix="millrace-")
+    if folder:
+        return folder.rstrip("/")
+    if not is_local(spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="millrace-")
+
+
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")

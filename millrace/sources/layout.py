@@ -30,7 +30,7 @@ class Layout:
         return f"{self.base}/landing/{name}"
 
     def landed(self, name: str) -> str:
-        """Bronze rows written by the streaming ingest; only that stream writes here."""
+        """Bronze rows written by the streaming ingest, one folder per batch of the stream."""
         return f"{self.table('bronze', name)}/landed"
 
     def ranged(self, name: str) -> str:
@@ -51,6 +51,10 @@ class Layout:
     def qa_log(self, name: str, at: datetime) -> str:
         return f"{self.qa(name, 'logs')}/{run_stamp(at)}"
 
+    def state(self, name: str) -> str:
+        """Log of what finished runs have loaded and checked, one row per run."""
+        return f"{self.base}/_state/{name}"
+
     def report(self, name: str) -> str:
         return f"{self.base}/sales_report/{name}"
 

@@ -33,4 +33,4 @@ TRANSACTION_NOT_NULL = (
     "total_purchase_usd",
 )
 
-CONTROL_TOTALS_SCHEMA = "utc_date date, hits_num int, visitors_num int"
+CONTROL_TOTALS_SCHEMA = "utc_date date, hits_num bigint, visitors_num bigint"

@@ -32,6 +32,16 @@ def scan_glob(spark: SparkSession, *patterns: str) -> DataFrame:
     return spark.read.parquet(*patterns)
 
 
+def scan_refetch(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Rows delivered to a refetch folder, with the declared schema; none where it is empty."""
+    try:
+        return (spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/*"))
+    except AnalysisException as error:
+        if error.getCondition() in ABSENT_CONDITIONS:
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def scan_if_present(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """``scan_table``, or None where the table has not been written yet."""
     try:
@@ -50,6 +60,7 @@ def scan_bronze(spark: SparkSession, layout: Layout, name: str,
     ``without_run`` leaves out what that repair run added, so that it can be run again.
     """
     landed = scan_if_present(spark, layout.landed(name))
+    landed = None if landed is None else landed.drop("batch_id")
     ranged = scan_if_present(spark, layout.ranged(name))
     repaired = scan_if_present(spark, layout.repaired(name))
     if repaired is not None:

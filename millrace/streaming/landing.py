@@ -32,13 +32,15 @@ def ingest_landing(spark: SparkSession, layout: Layout, name: str,
     """Load files not loaded before into bronze, then stop.
 
     The checkpoint remembers the files, so nothing depends on dates: files with old days are
-    loaded too. The file sink's own log makes each file appear exactly once after a failure.
-    Rows are written where they were read; nothing is shuffled.
+    loaded too. Each batch has a folder of its own, so a batch that is repeated after a failure
+    replaces what it wrote before. Rows are rebalanced by day: few files per day and batch, a
+    large day over several tasks.
     """
+    def write_batch(rows: DataFrame, batch_id: int) -> None:
+        overwrite_table(rows, f"{layout.landed(name)}/batch_id={batch_id}", by="utc_date")
+
     (landing_stream(spark, layout, name, max_bytes)
-     .writeStream.format("parquet")
-     .partitionBy("utc_date")
-     .option("path", layout.landed(name))
+     .writeStream.foreachBatch(write_batch)
      .option("checkpointLocation", layout.checkpoint(name))
      .trigger(availableNow=True)
      .start()

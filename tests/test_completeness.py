@@ -50,14 +50,6 @@ def test_daily_rates_and_threshold(spark):
         True, True, False, False]
 
 
-def test_max_days_shortens_the_range(spark):
-    df, control = many(spark, {"2024-01-01": 1}), control_totals(spark, [])
-    assert completeness_daily(df, control, day("2024-01-01"), day("2024-12-31"),
-                              max_days=31).count() == 31
-    assert completeness_daily(df, control, day("2024-01-01"), day("2024-01-05"),
-                              max_days=31).count() == 5
-
-
 def test_one_failing_day_is_tolerated(spark):
     df = many(spark, {"2024-01-01": 10, "2024-01-02": 5, "2024-01-03": 5})
     control = control_totals(spark, [(day(f"2024-01-0{n}"), 10, 10) for n in (1, 2, 3)])

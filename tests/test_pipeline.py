@@ -166,11 +166,12 @@ def test_repair_takes_refetches_until_complete(spark, gaps):
     assert got == [(5, 10, 10, True)] * 3
 
 
-def test_repair_gives_up_after_two_refetches(spark, gaps):
+def test_repair_uses_every_refetch_and_skips_empty_ones(spark, gaps):
     layout, control, attempts = gaps
-    assert not repair_clickstream(spark, layout, control, *SPAN, AT,
-                                  [attempts[0], attempts[0], attempts[1]])
-    assert scan_bronze(spark, layout, "clickstream").count() == 24
+    absent = layout.attempt("clickstream", AT + timedelta(days=1))
+    assert repair_clickstream(spark, layout, control, *SPAN, AT,
+                              [attempts[0], absent, attempts[0], attempts[1]])
+    assert scan_bronze(spark, layout, "clickstream").count() == 30
 
 
 def test_a_complete_range_is_left_alone(spark, gaps):
@@ -187,4 +188,49 @@ def test_history_is_checked_over_all_days_of_silver(spark, shop):
     daily = check_history(spark, shop, control)
     assert [(r.utc_date.day, r.reach_threshold) for r in daily.orderBy("utc_date").collect()] == [
         (28, True), (29, False)]
-    assert check_history(spark, shop, control, max_days=1).count() == 1
+
+
+def test_late_days_are_loaded_by_the_next_run(spark, shop):
+    run_pipeline(spark, PipelineConfig(shop, AT))
+    deliver(spark, shop, [sale("on", "2024-02-29"), sale("before", "2024-02-05"),
+                          sale("new", "2024-03-01")], [click(50, "2024-02-28")])
+    for hours in (1, 2):
+        run_pipeline(spark, PipelineConfig(shop, AT + timedelta(hours=hours)))
+        silver = scan_table(spark, shop.table("silver", "transactions"))
+        assert silver.filter("order_id in ('on', 'before', 'new')").count() == 3
+        assert silver.count() == 8
+        rebuilt = gold_transactions(silver)
+        gold = scan_table(spark, shop.table("gold", "transactions"))
+        assert bag(gold.select(*rebuilt.columns)) == bag(rebuilt)
+        assert scan_table(spark, shop.table("silver", "clickstream")).count() == 9
+    late = [scan_table(spark, f"{shop.qa('transactions', 'late')}/{run_stamp(AT + timedelta(hours=h))}")
+            for h in (1, 2)]
+    assert set(bag(late[0])) == {(day("2024-02-05"), 1), (day("2024-02-29"), 1)}
+    assert bag(late[1]) == []
+
+
+def test_days_without_deliveries_are_checked_and_repaired(spark, shop):
+    days = ["2024-02-27", "2024-02-28", "2024-02-29"]
+    control = control_totals(spark, [(day(d), 4, 4) for d in days])
+    refetch = shop.attempt("clickstream", AT)
+    write(spark, "clickstream", [click(n, days[0]) for n in range(4)], refetch)
+    run_pipeline(spark, PipelineConfig(shop, AT, control=control, attempts=[refetch],
+                                       max_failing_days=0))
+    assert scan_bronze(spark, shop, "clickstream").count() == 12
+    later = AT + timedelta(days=2)
+    run_pipeline(spark, PipelineConfig(shop, later, control=control))
+    log = scan_table(spark, f"{shop.qa_log('clickstream', later)}/initial")
+    assert sorted(tuples(log.select("utc_date", "reach_threshold"))) == [
+        (day("2024-03-01"), False), (day("2024-03-02"), False)]
+
+
+def test_no_clicks_at_all_give_a_failing_log(spark, layout):
+    write(spark, "users", [("1", "a@x", 0)], layout.landing("users"))
+    write(spark, "products", [("p", "Pen", money("2"))], layout.landing("products"))
+    write(spark, "clickstream", [], layout.landing("clickstream"))
+    deliver(spark, layout, [sale("1", "2024-01-05")])
+    control = control_totals(spark, [(day("2024-02-29"), 3 * 10**9, 4)])
+    run_pipeline(spark, PipelineConfig(layout, AT, control=control))
+    log = scan_table(spark, f"{layout.qa_log('clickstream', AT)}/initial")
+    assert tuples(log.select("hits_num", "num_of_hitid", "reach_threshold")) == [
+        (3 * 10**9, 0, False)]

@@ -1,5 +1,7 @@
 from types import SimpleNamespace
 
+import pytest
+
 from millrace.session import BASE_SETTINGS, scale_settings, shared_folder
 
 
@@ -13,10 +15,17 @@ def test_partitions_grow_with_the_input():
     assert int(large["spark.sql.shuffle.partitions"]) == -(-10**14 // 2**27)
 
 
-def named(folder):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder))
+def named(folder, master="local[2]"):
+    values = {"spark.checkpoint.dir": folder, "spark.master": master}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: values[key]))
 
 
 def test_the_folder_the_cluster_names_is_used(tmp_path):
     assert shared_folder(named("hdfs://x/shared/")) == "hdfs://x/shared"
     assert shared_folder(named(None)) != shared_folder(named(None))
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[3,2,1024]"])
+def test_a_cluster_must_name_a_shared_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(named(None, master))

@@ -102,8 +102,8 @@ clicks_3y as (
 def control_totals(name: str, clicks: str) -> str:
     return f"""
 {name} as (
-  select utc_date, cast(count(*) as integer) as hits_num,
-         cast(count(distinct (visid_high, visid_low)) as integer) as visitors_num
+  select utc_date, count(*) as hits_num,
+         count(distinct (visid_high, visid_low)) as visitors_num
   from {clicks} group by utc_date)"""
 
 

@@ -146,8 +146,8 @@ CLICK_IDS = ("hitid_high", "hitid_low", "visid_high", "visid_low", "utc_date")
 
 def control_totals_of(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy("utc_date").agg(
-        F.count("*").cast("int").alias("hits_num"),
-        F.countDistinct("visid_high", "visid_low").cast("int").alias("visitors_num"))
+        F.count("*").alias("hits_num"),
+        F.countDistinct("visid_high", "visid_low").alias("visitors_num"))
 
 
 def control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

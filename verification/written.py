@@ -49,11 +49,14 @@ def recursive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver clicks written whole, then their last days replaced twice."""
+    """Silver clicks, the last days written wrongly at first and then replaced twice."""
     path = new_layout(spark).table("silver", "clickstream")
-    overwrite_table(silver_clickstream(sc.clickstream(spark, sf_dir), RUN_AT), path, by="date")
+    clicks = silver_clickstream(sc.clickstream(spark, sf_dir), RUN_AT)
+    redone = F.col("date") >= F.lit(SPLIT)
+    wrong = F.when(redone, -F.col("hitid_low")).otherwise(F.col("hitid_low"))
+    overwrite_table(clicks.withColumn("hitid_low", wrong), path, by="date")
     for _ in range(2):
-        replace_partitions(scan_table(spark, path).filter(F.col("date") >= F.lit(SPLIT)), path)
+        replace_partitions(clicks.filter(redone), path)
     return scan_table(spark, path).select("hitid_high", "hitid_low", "hit_gmt_timestamp", "date")
 
 
