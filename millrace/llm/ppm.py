@@ -1,34 +1,40 @@
 """Score texts with prediction by partial matching over bytes, next to a word unigram base.
 
-A text is its words, each ended by a blank, then an end sign. Contexts are the last bytes back to the
-blank before the word, so a word's code length depends on the word alone and a task remembers it. The
-trie of contexts is learned from the training words' counts; escapes follow method D, and symbols of the
-longer contexts are excluded from the shorter ones. The most frequent ``max_contexts`` contexts make
-up the model: that bounds what is broadcast. All counts cover all training documents.
+A text is a byte stream: its words with a blank before each and after the last, then an end sign. The
+contexts of a byte are the ``order`` bytes before it and all their ends, across blanks; before a text
+stand pad bytes. Escapes follow method D, and symbols of the longer contexts are excluded from the
+shorter ones. All contexts of all training documents make up the model, which is a table: texts are
+gathered in blocks, the distinct grams of each block are joined to their code lengths, and every block is
+scored with its own. Nothing of the model is broadcast.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept, map_rows, whole_text, written
+from millrace.llm.common import map_rows, whole_text, written
 
-ORDER = 4
-MAX_CONTEXTS = 150_000
+ORDER = 5
+MAX_ORDER = 6  # a context and its symbol are one bigint
+BLOCK_BYTES = 16 << 20
 FREQUENT = 1_000_000  # words of a share of at least one in this many are broadcast: so many at most
 FREQUENT_BYTES = 64
 FLUSH = 400_000
-MEMO = 700_000
 BLANK, END = b" ", b"\n"  # no word holds white space
+PAD = b"\xff"  # in no UTF-8
 VOCABULARY = "word binary, n bigint"
+BLOCKS = "block bigint, doc_id array<bigint>, held_out array<boolean>, start array<bigint>, data binary, bytes bigint"
+GRAMS = "block bigint, gram bigint, n bigint"
 PARTS = ("row bigint, doc_id bigint, held_out boolean, word binary, n bigint, n_tokens bigint, "
-         "n_known bigint, base double, score double")
+         "n_known bigint, base double")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -64,7 +70,8 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 
 
 def context_counts(words: DataFrame, order: int) -> DataFrame:
-    """(word, n): contexts up to ``order`` bytes, each with one following symbol as its last byte."""
+    """(word, n): contexts up to ``order`` bytes, each with one following symbol as its last byte, of short texts
+    with counts. With ``context_trie`` and ``Scorer`` it is the plain model of one process, for comparison."""
     def add(counts, batch):
         for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
             if word == END:
@@ -97,20 +104,10 @@ def context_trie(grams: DataFrame, max_contexts: int) -> dict[bytes, tuple[bytes
 
 
 class Scorer:
-    """log10 probabilities of words and of the end under a trie."""
+    """log10 probabilities of bytes and words under a trie."""
 
     def __init__(self, trie: dict, order: int):
         self.trie, self.order = trie, order
-        self.steps: dict[bytes, float] = {}
-        self.words: dict[bytes, float] = {}
-        self.bases: dict[bytes, float] = {}
-        self.end = self.step(BLANK + END)
-
-    def base(self, counts: dict[bytes, int], room: int) -> dict[bytes, float]:
-        """log10 of the base probabilities of words with known counts."""
-        if not self.bases:
-            self.bases = {word: math.log10((n + 1) / room) for word, n in counts.items()}
-        return self.bases
 
     def step(self, gram: bytes) -> float:
         """log10 P(last byte | the bytes before it)."""
@@ -136,86 +133,208 @@ class Scorer:
         return total - math.log10(max(1, 256 - len(excluded)))
 
     def word(self, word: bytes) -> float:
-        known = self.words.get(word)
-        if known is None:
-            if len(self.words) > MEMO:
-                self.words.clear()
-            if len(self.steps) > MEMO:
-                self.steps.clear()
-            line, known, steps = BLANK + word + BLANK, 0.0, self.steps
-            for i in range(1, len(line)):
-                gram = line[max(0, i - self.order):i + 1]
-                step = steps.get(gram)
-                if step is None:
-                    steps[gram] = step = self.step(gram)
-                known += step
-            self.words[word] = known
-        return known
+        line = BLANK + word + BLANK
+        return sum(self.step(line[max(0, i - self.order):i + 1]) for i in range(1, len(line)))
+
+
+def stream_of(text: str, order: int) -> bytes:
+    return PAD * order + BLANK + b"".join(word + BLANK for word in words_of(text)) + END
+
+
+def text_blocks(rows: DataFrame, order: int) -> DataFrame:
+    """Streams of about ``BLOCK_BYTES`` together, compressed; a row's number is its block's and its place in it."""
+    def start():
+        first, done = TaskContext.get().partitionId() << 32, 0
+        ids, held, streams, size = [], [], [], 0
+
+        def emptied():
+            nonlocal done, size
+            if streams:
+                data = b"".join(streams)
+                ends = np.cumsum([len(x) for x in streams])
+                yield {"block": [first + done], "doc_id": [list(ids)], "held_out": [list(held)],
+                       "start": [[0, *ends[:-1].tolist()]], "bytes": [len(data)],
+                       "data": [pa.compress(data, codec="zstd", asbytes=True)]}
+                done += len(streams)
+                size = 0
+                for x in (ids, held, streams):
+                    x.clear()
+
+        def step(batch):
+            nonlocal size
+            if batch is None:
+                yield from emptied()
+                return
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                for doc_id, held_out, text in zip(*(part[c].to_pylist() for c in ("doc_id", "held_out", "text"))):
+                    stream = stream_of(text, order)
+                    ids.append(doc_id)
+                    held.append(held_out)
+                    streams.append(stream)
+                    size += len(stream)
+                    if size >= BLOCK_BYTES:
+                        yield from emptied()
+        return step
+    return map_rows(rows, BLOCKS, start)
+
+
+def stream_bytes(batch, i: int) -> bytes:
+    return pa.decompress(batch["data"][i].as_py(), batch["bytes"][i].as_py(), codec="zstd", asbytes=True)
+
+
+def place_grams(data: bytes, starts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(gram of every coded byte, how many each text has). The first blank is given, not coded."""
+    x = np.frombuffer(data, np.uint8)
+    grams = np.zeros(len(x) - order, np.int64)
+    for k in range(order + 1):
+        grams <<= 8
+        grams |= x[k:len(x) - order + k]
+    sizes = np.diff(starts, append=len(x)) - order - 1
+    coded = np.ones(len(grams), bool)  # gram i codes byte i + order
+    for k in range(order + 1):
+        at = starts + k - order
+        coded[at[at >= 0]] = False
+    return grams[coded], sizes
 
 
-def score_documents(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
-                    frequent: int = FREQUENT) -> DataFrame:
+def block_grams(blocks: DataFrame, order: int) -> DataFrame:
+    """(block, gram, n): distinct grams of each block, n of them in training rows."""
+    def start():
+        def step(batch):
+            for i in range(batch.num_rows if batch is not None else 0):
+                grams, sizes = place_grams(stream_bytes(batch, i), np.array(batch["start"][i].as_py()), order)
+                codes, distinct = pd.factorize(grams)
+                train = np.repeat(~np.array(batch["held_out"][i].as_py(), bool), sizes)
+                n = np.bincount(codes[train], minlength=len(distinct))
+                by = np.argsort(distinct)
+                yield {"block": pa.repeat(batch["block"][i].as_py(), len(by)), "gram": distinct[by], "n": n[by]}
+        return step
+    return map_rows(blocks, GRAMS, start)
+
+
+def code_lengths(grams: DataFrame, order: int) -> DataFrame:
+    """(gram, code): log10 P(last byte | the ``order`` bytes before it) of all distinct grams; those of n = 0 are
+    not in the model, only asked for.
+
+    From the shortest contexts to the longest. Of a gram's level are kept: its count, kinds and total of its
+    context, ``code`` as if this context were the first asked, and ``after``, the code once the context was left by
+    an escape, its symbols excluded. A level's rows meet the next shorter one's by the gram without its first byte
+    and their own context's by all but the last: at most 256 rows share either, however common a context is.
+    """
+    levels = [written(grams.groupBy("gram").agg(F.sum("n").alias("n")), f"grams-{order}")]
+    for k in range(order - 1, -1, -1):
+        levels.insert(0, written(levels[0].groupBy(F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram"))
+                                 .agg(F.sum("n").alias("n")), f"grams-{k}"))
+    n, kinds, total = F.col("n"), F.col("kinds"), F.col("total")
+    seen = F.sum(F.when(n > 0, 1).otherwise(0))
+    lowest = levels[0].agg(seen.alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
+    own, escape = F.log10((2 * n - 1) / (2 * total)), F.log10(kinds / (2 * total))
+    after = F.lit(-math.log10(max(1, 256 - (lowest["kinds"] or 0))))
+    done = levels[0].withColumns({"kinds": F.lit(lowest["kinds"] or 0), "total": F.lit(lowest["total"]), "after": after}
+                                 ).withColumn("code", F.when(total == 0, after).when(n > 0, own).otherwise(escape + after))
+    for k in range(1, order + 1):
+        shorter = done.select(F.col("gram").alias("end"), F.col("n").alias("n_"), F.col("kinds").alias("kinds_"),
+                              F.col("total").alias("total_"), F.col("code").alias("code_"), F.col("after").alias("after_"))
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        left = 2 * (F.col("total_") - F.col("excluded"))
+        onward = F.when(F.col("n_") > 0, F.log10((2 * F.col("n_") - 1) / left)).otherwise(
+            F.col("after_") + F.when(F.col("kinds_") > kinds, F.log10((F.col("kinds_") - kinds) / left)).otherwise(0.0))
+        done = (levels[k].withColumn("end", F.col("gram").bitwiseAND((1 << 8 * k) - 1)).join(shorter, "end")
+                .withColumns({"kinds": seen.over(context), "total": F.sum("n").over(context),
+                              "excluded": F.sum(F.when(n > 0, F.col("n_")).otherwise(0)).over(context)})
+                .withColumn("after", F.when((total > 0) & (n == 0), onward))
+                .withColumn("code", F.when(total == 0, F.col("code_")).when(n > 0, own).otherwise(escape + F.col("after")))
+                .select("gram", "n", "kinds", "total", "code", "after"))
+    return done.select("gram", "code")
+
+
+def block_scores(blocks: DataFrame, codes: DataFrame, order: int) -> DataFrame:
+    """(row, score): sums of the code lengths of each text's bytes; ``codes`` (block, gram, code) hold all of a block."""
+    tables = codes.groupBy("block").agg(F.collect_list(F.struct("gram", "code")).alias("codes"))
+
+    def start():
+        def step(batch):
+            for i in range(batch.num_rows if batch is not None else 0):
+                starts = np.array(batch["start"][i].as_py())
+                grams, sizes = place_grams(stream_bytes(batch, i), starts, order)
+                places, distinct = pd.factorize(grams)
+                table = batch["codes"][i].values
+                known, code = (table.field(c).to_numpy() for c in ("gram", "code"))
+                by = np.argsort(known)
+                known, code = known[by], code[by]
+                at = np.searchsorted(known, distinct)
+                if len(known) != len(distinct) or (known[at] != distinct).any():
+                    raise ValueError("grams of a block without their code lengths")
+                sums = np.add.reduceat(code[at][places], np.cumsum(sizes) - sizes)
+                block = batch["block"][i].as_py()
+                yield {"row": np.arange(block, block + len(starts)), "score": sums}
+        return step
+    return map_rows(blocks.select("block", "start", "data", "bytes").join(tables, "block"), "row bigint, score double", start)
+
+
+def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUENT) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Training rows are those whose crc32(doc_id as text) mod 7 is not 2; a null doc_id is a training row.
     Null texts count as empty: one token, the end. Repeated rows count and are scored as often as they
     occur. With no training rows every byte has the same probability. An empty input gives no row.
     """
+    if not 1 <= order <= MAX_ORDER:
+        raise ValueError(f"order must be 1 to {MAX_ORDER}")
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text")).withColumn(
         "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False)))
     words = written(vocabulary(rows.filter(~F.col("held_out"))), "vocabulary")
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, room = sums["n"] or 0, (sums["n"] or 0) + sums["v"] + 1
-    trie = sc.broadcast(context_trie(context_counts(words, order), max_contexts))
-    common = sc.broadcast({bytes(r["word"]): r["n"] for r in words.filter(
+    common = sc.broadcast({bytes(r["word"]): math.log10((r["n"] + 1) / room) for r in words.filter(
         (F.col("n") * frequent >= tokens) & (F.octet_length("word") <= FREQUENT_BYTES)).toLocalIterator()})
+    blocks = written(text_blocks(rows, order), "blocks")
+    grams = written(block_grams(blocks, order), "block-grams")
+    codes = grams.select("block", "gram").join(code_lengths(grams, order), "gram")
 
     def start():
-        model = kept(("ppm", model_key), lambda: Scorer(trie.value, order))
-        first, done, scores = TaskContext.get().partitionId() << 32, 0, model.words
-        known = model.base(common.value, room)
+        known = common.value
 
         def step(batch):
-            nonlocal done
-            if batch is None:
-                return
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                rare_row, rare_word, rare_n, own = [], [], [], []
-                for doc_id, held_out, text in zip(*(part[c].to_pylist() for c in ("doc_id", "held_out", "text"))):
-                    row, n_known, base, score, n_tokens = first + done, 0, 0.0, model.end, 1
-                    done += 1
-                    counts = Counter(words_of(text))
-                    for word, n in counts.items():
-                        score += n * (scores.get(word) or model.word(word))
-                    n_tokens += counts.total()
-                    counts[END] = 1
-                    rare = []
-                    for word, n in counts.items():
-                        share = known.get(word)
-                        if share is None:
-                            rare.append(word)
-                        else:
-                            n_known += n
-                            base += n * share
-                    # The counts of the others are joined in.
-                    rare_row += [row] * len(rare)
-                    rare_word += rare
-                    rare_n += map(counts.__getitem__, rare)
-                    own.append((row, doc_id, held_out, END + row.to_bytes(8, "big"), 0, n_tokens, n_known, base, score))
-                # A document's own row has a key that is no word and spreads over the join.
-                rows_, ids, held, keys, zeros, *sums_ = map(list, zip(*own))
-                none = [None] * len(rare_row)
-                yield dict(zip([x.split()[0] for x in PARTS.split(", ")], (
-                    rare_row + rows_, none + ids, none + held, rare_word + keys, rare_n + zeros,
-                    *(none + x for x in sums_))))
+            for at in range(batch.num_rows if batch is not None else 0):
+                data, block = stream_bytes(batch, at), batch["block"][at].as_py()
+                ids, held_out, begins = (batch[c][at].as_py() for c in ("doc_id", "held_out", "start"))
+                ends = begins[1:] + [len(data)]
+                for first in range(0, len(ids), 512):
+                    rare_row, rare_word, rare_n, own = [], [], [], []
+                    for i in range(first, min(first + 512, len(ids))):
+                        row, n_known, base = block + i, 0, 0.0
+                        counts = Counter(data[begins[i] + order:ends[i]].split())
+                        n_tokens = counts.total() + 1
+                        counts[END] = 1
+                        rare = []
+                        for word, n in counts.items():
+                            share = known.get(word)
+                            if share is None:
+                                rare.append(word)
+                            else:
+                                n_known += n
+                                base += n * share
+                        # The counts of the others are joined in.
+                        rare_row += [row] * len(rare)
+                        rare_word += rare
+                        rare_n += map(counts.__getitem__, rare)
+                        own.append((row, ids[i], held_out[i], END + row.to_bytes(8, "big"), 0, n_tokens, n_known, base))
+                    # A document's own row has a key that is no word and spreads over the join.
+                    rows_, ids_, held, keys, zeros, *sums_ = map(list, zip(*own))
+                    none = [None] * len(rare_row)
+                    yield dict(zip([x.split()[0] for x in PARTS.split(", ")], (
+                        rare_row + rows_, none + ids_, none + held, rare_word + keys, rare_n + zeros,
+                        *(none + x for x in sums_))))
         return step
 
-    model_key = uuid.uuid4().hex
-    parts = map_rows(rows, PARTS, start)
-    joined = parts.join(words.select("word", F.col("n").alias("seen")), "word", "left")
-    return joined.groupBy("row").agg(
+    parts = map_rows(blocks, PARTS, start)
+    joined = parts.join(words.select("word", F.col("n").alias("seen")), "word", "left").select(
+        "row", "doc_id", "held_out", "n_tokens", "n_known", "base", "n", "seen")
+    scores = block_scores(blocks, codes, order)
+    return joined.unionByName(scores, allowMissingColumns=True).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),
         F.sum(F.when(F.col("seen").isNotNull(), F.col("n"))).alias("rare_known"),

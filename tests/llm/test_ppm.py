@@ -71,3 +71,30 @@ def test_few_rows(spark):
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = ppm.score_documents(frame(spark, ["ab"], [alone])).first()
     assert r.train_tokens == 0 and r.base_score == 0 and math.isclose(r.score, -4 * math.log10(256))
+
+
+def plain_scores(rows, order):
+    """Scores over whole texts from all contexts, in one dict."""
+    def line(t):
+        return b"\xff" * order + b" " + b"".join(w + b" " for w in (t or "").encode().lower().split()) + b"\n"
+
+    counts = {}
+    for i, t in rows:
+        if i is None or zlib.crc32(str(i).encode()) % 7 != 2:
+            x = line(t)
+            for at in range(order + 1, len(x)):
+                for begin in range(at - order, at + 1):
+                    counts.setdefault(x[begin:at], Counter())[x[at]] += 1
+    return [sum(math.log10(plain_step(counts, x[at - order:at + 1])) for at in range(order + 1, len(x)))
+            for x in (line(t) for _, t in rows)]
+
+
+def test_scores_over_whole_texts_and_all_contexts(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "BLOCK_BYTES", 3000)  # several blocks a task
+    assert ppm.ORDER == 5
+    texts = awkward_texts() + [f"word{i} of the {chr(97 + i % 26) * (i % 7)} lot {i * i}" for i in range(150)]
+    texts += ["zq\x00xj ꙮ"] * 7
+    for order in (5, 2):
+        got = sorted(ppm.score_documents(frame(spark, texts, extra=True).repartition(3), order).collect())
+        for r, e in zip(got, plain_scores(list(enumerate(texts)), order), strict=True):
+            assert math.isclose(r.score, e, rel_tol=1e-9), r
