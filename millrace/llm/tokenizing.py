@@ -26,8 +26,9 @@ MEMO_ENTRIES = 300_000
 SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_NAMES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in SHOWN)}
 BLANK = chr(BYTE_NAMES[32])
-#: Below this, letters have no combining forms and one-to-one lower case.
+#: Below this, letters have no combining forms and, but for one, one-to-one lower case.
 LATIN_END = "\u0250"
+DOTTED_I = "\u0130"  # its lower case is two characters, and the library splits between them
 
 
 def little_endian(ids: list[int]) -> bytes:
@@ -76,7 +77,7 @@ class Encoder:
             return self._known("\n") + self._known(stretch[1:])
         word = stretch[:-1] if stretch[-1] in ".," else stretch
         letters = word[1:] if word[:1] == " " else word
-        if not letters.isalpha() or not (letters.isascii() or max(letters) < LATIN_END):
+        if not letters.isalpha() or not (letters.isascii() or max(letters) < LATIN_END and DOTTED_I not in letters):
             return None
         if word is stretch:
             return self._model(word)

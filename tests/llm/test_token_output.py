@@ -68,3 +68,12 @@ def test_repeated_and_null_ids_and_no_rows(spark):
     assert [r.doc_id for r in got] == [None, None, 7, 7]
     assert [r.start for r in got][1:] == list(np.cumsum([r.n_tokens for r in got]))[:-1]
     assert to.token_output(frame(spark, []), BPE, 2).count() == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_all_latin_letters_give_the_librarys_ids(name):
+    plain, ours = Tokenizer.from_file(tokenizer_path(name)), Encoder(tokenizer_path(name))
+    for letter in filter(str.isalpha, map(chr, range(0x250))):
+        for text in (letter, f"{letter}ab", f"a{letter}b", f"x {letter}a. B{letter},", f"{letter}{letter}\n{letter}\u0130stanbul"):
+            got = np.frombuffer(ours.ids(text), "<u4").tolist()
+            assert got == plain.encode(text, add_special_tokens=False).ids, text
