@@ -27,8 +27,14 @@ ALPHABETS = [DIGITS + "ABCDEF", UPPER + "234567", DIGITS + LOWER, DIGITS + UPPER
 # Letters of European prose, percent.
 LETTER_SHARE = dict(zip(LOWER, (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4,
                                 6.7, 7.5, 1.9, 0.1, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.07)))
-#: Of uniformly random letters and digits, the sum of squared shares in prose is about this.
-PROSE_REPEAT = sum((x / 100) ** 2 for x in LETTER_SHARE.values())
+#: How prose-like a letter is: log of its share over the share in random strings, rare letters at half a percent at least.
+LETTER_SIGN = {c: math.log(max(x, 0.5) * 26 / 100) for c, x in LETTER_SHARE.items()}
+SIGN_MEAN = sum(LETTER_SHARE[c] * x for c, x in LETTER_SIGN.items()) / sum(LETTER_SHARE.values())
+SIGN_VAR = sum(LETTER_SHARE[c] * (x - SIGN_MEAN) ** 2 for c, x in LETTER_SIGN.items()) / sum(LETTER_SHARE.values())
+SIGN_EXCESS = 1.5  # letters of words depend on each other, and languages differ
+HEX_LETTERS = sum(LETTER_SHARE[c] for c in "abcdef") / sum(LETTER_SHARE.values())
+#: Changes between letters and digits, per pair of neighbours, in names that are made of words and numbers.
+CHANGE_SHARE = 0.1
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 UNIFORM_P = 1e-3
@@ -62,12 +68,10 @@ def inferred_alphabet(text: str) -> str | None:
 
 
 def battery(text: str, alphabet: str) -> tuple[float, float]:
-    """(p that a uniformly random string is as irregular, p that prose of this length is as even).
+    """(p that a uniformly random string is as irregular, p that words and numbers are as even).
 
     First: alphabet uniformity (chi-squared), runs above and below the alphabet's middle, and serial
-    correlation at lag 1, combined by Fisher's method. Second: the lower tail of the same
-    chi-squared statistic under prose, whose non-centrality grows with the length: a short string
-    can't look random for sure, however even it is.
+    correlation at lag 1, combined by Fisher's method. Second: p_prose.
     """
     x = np.array([alphabet.index(c) for c in text.rstrip("=")], np.float64)
     n, size = len(x), len(alphabet)
@@ -91,10 +95,28 @@ def battery(text: str, alphabet: str) -> tuple[float, float]:
     fisher = -2 * sum(math.log(max(p, 1e-300)) for p in (p_uniform, p_runs, p_serial))
     half = fisher / 2  # six degrees of freedom
     p_random = math.exp(-half) * (1 + half + half * half / 2)
-    shift = (n - 1) * (size * PROSE_REPEAT - 1)
-    p_prose = 1.0 if shift <= 0 else normal_tail(
-        (size - 1 + shift - chi2) / math.sqrt(2 * (size - 1 + 2 * shift)))
-    return p_random, p_prose
+    return p_random, p_prose(text, alphabet)
+
+
+def p_prose(text: str, alphabet: str) -> float:
+    """Fisher's combination of two p within the alphabet: that words have letters of so few signs of prose (of
+    hexadecimal: that all their letters are A to F), and that letters and digits change so often."""
+    body = text.rstrip("=")
+    letters = [c for c in body.lower() if c in LETTER_SIGN]
+    if alphabet is ALPHABETS[0]:
+        p_letters = HEX_LETTERS ** len(letters)
+    elif letters:
+        z = (sum(map(LETTER_SIGN.__getitem__, letters)) - len(letters) * SIGN_MEAN) / math.sqrt(
+            SIGN_EXCESS * len(letters) * SIGN_VAR)
+        p_letters = normal_tail(-z)
+    else:
+        p_letters = 1.0
+    kinds = [c in DIGITS for c in body if c.isalnum()]
+    pairs, changes = len(kinds) - 1, sum(a != b for a, b in zip(kinds, kinds[1:]))
+    p_changes = min(1.0, sum(math.comb(pairs, k) * CHANGE_SHARE ** k * (1 - CHANGE_SHARE) ** (pairs - k)
+                             for k in range(changes, min(pairs, changes + 60) + 1)))
+    half = -math.log(max(p_letters, 1e-300)) - math.log(max(p_changes, 1e-300))
+    return math.exp(-half) * (1 + half)
 
 
 def random_spans(text: str, taken: list[Span]) -> list[Span]:

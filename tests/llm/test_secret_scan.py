@@ -57,3 +57,23 @@ def test_redaction(spark):
     assert ss.redact(docs).columns == docs.columns
     assert [r.text for r in got] == ["[secret]", *texts[1:]]
     assert got[0].n_chars == 8 and got[1].n_chars == len(texts[1]) and got[2].n_chars is None
+
+
+def test_random_strings_of_every_alphabet_and_length_are_found_and_names_are_not():
+    rng = random.Random(17)
+
+    def found(text):
+        return any(k == 3 for _, k, _ in ss.all_spans(text)[1])
+
+    for alphabet in (ss.DIGITS + "ABCDEF", *ss.ALPHABETS[1:]):
+        for length in (20, 24, 32, 40, 64, 128):
+            n = sum(found(f"the value {''.join(rng.choices(alphabet, k=length))} was kept") for _ in range(100))
+            assert n >= 80 if length == 20 else n >= 90, (alphabet, length, n)
+    words = "night light reading station paper window under garden simple market".split()
+    wrong = 0
+    for _ in range(100):
+        some = rng.choices(words, k=5)
+        stamp = f"{rng.randint(2000, 2030)}{rng.randint(10, 12)}{rng.randint(10, 28)}T{rng.randint(100000, 235959)}Z{rng.randint(100, 999)}"
+        wrong += sum(map(found, ("".join(w.title() for w in some) + "7", "/".join(some) + "/2024/05", "-".join(some) + "-12",
+                                 "".join(some).upper() + "42", stamp)))
+    assert wrong <= 10
