@@ -13,6 +13,7 @@ import re
 import uuid
 from collections import Counter
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from millrace.llm.common import kept, map_rows, whole_text, written
 
 SAMPLE = 16_000     # most labelled training rows that the model is fitted on, half of each label
 MAX_TERMS = 2_000   # most terms and stems
-LEAST_RATIO = 200.0  # of a term's share of toxic to its share of other documents
+LEAST_RATIO = 8.0   # of a term's share of toxic to its share of other documents; chance is ruled out by a test
 LEAST_DOCUMENTS, LEAST_SHARE = 3, 0.01
 STEM_LENGTHS = range(4, 8)
 FUZZY_LENGTH, MISSPELT = 5, 0.7
@@ -137,7 +138,9 @@ def context_factor(parts: list[str], i: int) -> float:
 
 def inputs_of(words: int, hits: list[tuple[float, float]]) -> list[float]:
     total = sum(weight * factor for weight, factor in hits)
-    return [1.0, math.log1p(total), math.log1p(100 * total / max(words, 20)), float(total > 0)]
+    plain = sum(weight for weight, factor in hits if factor >= 1)  # neither quoted nor reported
+    return [1.0, math.log1p(total), math.log1p(100 * total / max(words, 20)), float(total > 0),
+            math.log1p(plain), float(plain > 0)]
 
 
 @dataclass
@@ -187,19 +190,35 @@ def feature_counts(sample: DataFrame) -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
+def likelihood_ratio(toxic, other, n_toxic: int, n_other: int):
+    """G squared of a feature's document counts against the same share of both labels."""
+    share = (toxic + other) / (n_toxic + n_other)
+
+    def part(n, expected):
+        return F.when(n > 0, n * F.ln(n / expected)).otherwise(0.0)
+    return 2 * (part(toxic, n_toxic * share) + part(other, n_other * share)
+                + part(n_toxic - toxic, n_toxic * (1 - share)) + part(n_other - other, n_other * (1 - share)))
+
+
 def learn_lexicon(sample: DataFrame, n_toxic: int, n_other: int) -> Lexicon:
     features = written(feature_counts(sample), "toxicity-features")
     ratio = ((F.col("toxic") + 0.1) / (n_toxic + 1)) / ((F.col("other") + 0.1) / (n_other + 1))
     least = max(LEAST_DOCUMENTS, math.ceil(LEAST_SHARE * n_toxic))
-    rows = (features.filter(F.col("toxic") >= least).withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO)
+    tested = features.filter(F.col("toxic") >= least).withColumn("ratio", ratio)
+    # About one feature passes by chance, whatever the size of the sample; what clean documents quote stays.
+    bound = NormalDist().inv_cdf(1 - 1 / max(tested.count(), 20)) ** 2
+    rows = (tested.filter((F.col("ratio") >= LEAST_RATIO)
+                          & (likelihood_ratio(F.col("toxic"), F.col("other"), n_toxic, n_other) >= bound))
             .orderBy(F.desc("toxic"), "feature").limit(MAX_TERMS).collect())
     stems: dict[str, float] = {}
     # A stem is worth it where several words share it; one word's beginning is the word itself.
     words = {r["feature"]: r["toxic"] for r in rows if not r["feature"].endswith("*")}
+    ratios = {r["feature"]: r["ratio"] for r in rows}
     for r in sorted((r for r in rows if r["feature"].endswith("*")), key=lambda r: (len(r["feature"]), r["feature"])):
         stem = r["feature"][:-1]
         single = max((n for w, n in words.items() if w.startswith(stem)), default=0)
-        if single < 0.8 * r["toxic"] and not any(stem.startswith(s) for s in stems):
+        purest = max((x for w, x in ratios.items() if w.startswith(stem) and not w.endswith("*")), default=0)
+        if single < 0.8 * r["toxic"] and r["ratio"] >= purest / 2 and not any(stem.startswith(s) for s in stems):
             stems[stem] = math.log(r["ratio"])
     terms = {r["feature"]: math.log(r["ratio"]) for r in rows if not r["feature"].endswith("*")
              and not any(r["feature"].startswith(s) for s in stems)}
@@ -240,7 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
     counts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_other, n_toxic = counts.get(0, 0), counts.get(1, 0)
     if not n_other or not n_toxic:
-        return Model(Lexicon(), [30.0 if n_toxic else -30.0, 0.0, 0.0, 0.0])
+        return Model(Lexicon(), [30.0 if n_toxic else -30.0, 0.0, 0.0, 0.0, 0.0, 0.0])
     lexicon = learn_lexicon(sample, n_toxic, n_other)
 
     def start():

@@ -72,3 +72,23 @@ def test_no_labels_no_rows(spark):
     got = tx.predictions(frame(spark, ["a", None]), none).collect()
     assert [r.predicted for r in got] == [0, 0]
     assert tx.predictions(frame(spark, []), none).count() == 0
+
+
+def test_terms_that_clean_documents_quote_stay(spark):
+    texts, labels = corpus(500)
+    rng = random.Random(4)
+    clean = [i for i in range(500) if not labels[i] and zlib.crc32(str(i).encode()) % 3 != 1]
+    for i in rng.sample(clean, 12):
+        words = texts[i].split()
+        words.insert(rng.randrange(len(words)), f'said "{rng.choice(["frobnik", "grumple", "snarkist"])}"')
+        texts[i] = " ".join(words)
+    table = spark.createDataFrame([(i, 1, t) for i, t in enumerate(labels)], LABELS)
+    docs = frame(spark, texts)
+    model = tx.fit(docs, table)
+    assert set(model.lexicon.terms) >= {"frobnik", "grumple", "snarkist"} and model.lexicon.weight("frobnyk") > 0
+    assert len(model.lexicon.terms) < 20
+    got = {r.doc_id: r for r in tx.predictions(docs, table).collect()}
+    held = [i for i in range(500) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum(got[i].predicted == labels[i] for i in held) >= 0.97 * len(held)
+    abuse, quoted = "mi re frobnik lo ta grumple si", 'mi re said "frobnik" lo ta si'
+    assert model.score(abuse)[0] >= tx.THRESHOLD > model.score(quoted)[0]
