@@ -98,3 +98,9 @@ def test_scores_over_whole_texts_and_all_contexts(spark, monkeypatch):
         got = sorted(ppm.score_documents(frame(spark, texts, extra=True).repartition(3), order).collect())
         for r, e in zip(got, plain_scores(list(enumerate(texts)), order), strict=True):
             assert math.isclose(r.score, e, rel_tol=1e-9), r
+
+
+def test_order_of_words_matters(spark):
+    texts = ["of the word and the end of it"] * 9 + ["of the word", "the of word", "word the of"]
+    got = sorted(ppm.score_documents(frame(spark, texts)).collect())[-3:]
+    assert got[0].score > max(got[1].score, got[2].score) and len({round(r.base_score, 9) for r in got}) == 1
