@@ -41,6 +41,15 @@ def kept(key, make: Callable):
     return _KEPT[key]
 
 
+#: Bytes of rows that go to a Python worker at once; a single row may be larger.
+BATCH_BYTES = 1 << 24
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches for Python workers end by bytes, not only by rows, so long texts don't add up."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def whole_text(column: str = "text") -> "F.Column":
     """The text, null as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
