@@ -27,7 +27,7 @@ from millrace.llm.pivot_search import usable
 
 BLOCK, QUERY_BLOCK = 8192, 8192  # candidates of a tree, queries that meet it in one task, about
 LANDMARKS = 1024                 # at most, per vector length
-LEAF, FANOUT, RATIO = 64, 32, 1.3
+LEAF, FANOUT, RATIO = 256, 32, 1.3
 LARGEST = 1 << 23                # components beyond raise: sums of products must be exact
 LOWEST = -(1 << 62)
 

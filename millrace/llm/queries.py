@@ -104,12 +104,12 @@ def op13_hard_negatives(spark, sf_dir):
 # Over the pairs of a query and a candidate; vectors as lists of integers.
 SQL = {
     "op4_pivot_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+        WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
                    FROM embeddings
                    WHERE vec_id IS NOT NULL AND len(embedding) > 0
-                     AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         s AS (SELECT a.vec_id AS query_id, b.vec_id,
-                     CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+                     CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.q, b.q)]) AS BIGINT) AS score
               FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
@@ -117,21 +117,22 @@ SQL = {
     "op12_warc_output": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         k AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS w FROM p),
-        b AS (SELECT *, list_transform(range(8), i -> CAST('0x' || substr(d, CAST(5 * i + 1 AS INTEGER), 5) AS BIGINT)) AS five FROM k)
+        b AS (SELECT *, [CAST('0x' || substr(d, CAST(5 * i + 1 AS INTEGER), 5) AS BIGINT) FOR i IN range(8)] AS five FROM k)
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-               array_to_string(list_transform(five, v -> array_to_string(list_transform([15, 10, 5, 0], s ->
-                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> s) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest,
+               array_to_string([array_to_string([
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> s) & 31 AS INTEGER) + 1, 1)
+                   FOR s IN [15, 10, 5, 0]], '') FOR v IN five], '') AS payload_digest,
                CASE WHEN page_id = w THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> w THEN w END AS refers_to
         FROM b""",
     "op13_hard_negatives": """
         WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                          list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+                          [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
                    FROM embeddings
                    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-                     AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
-                     CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+                     CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.q, b.q)]) AS BIGINT) AS score
               FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
         p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
               QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
