@@ -42,7 +42,13 @@ def control_totals_spine(control: DataFrame, start: date, end: date) -> DataFram
 def completeness_daily(clicks: DataFrame, control: DataFrame, start: date, end: date,
                        threshold: float = THRESHOLD) -> DataFrame:
     """Expected and actual totals per day, both rates, and whether both reach the threshold."""
-    actual = daily_visitors_hits(within_dates(clicks, start, end))
+    return completeness_of_counts(daily_visitors_hits(within_dates(clicks, start, end)), control, start, end,
+                                  threshold)
+
+
+def completeness_of_counts(actual: DataFrame, control: DataFrame, start: date, end: date,
+                           threshold: float = THRESHOLD) -> DataFrame:
+    """As ``completeness_daily``, from distinct counts per day that are already there."""
     hit_rate = rounded_ratio(F.col("num_of_hitid"), F.col("hits_num"), 4).cast(RATE)
     visitor_rate = rounded_ratio(F.col("num_of_visid"), F.col("visitors_num"), 4).cast(RATE)
     needed = rate_literal(threshold)
@@ -66,8 +72,11 @@ def completeness_by_year(clicks: DataFrame, control: DataFrame, start: date, end
                          threshold: float = THRESHOLD,
                          max_failing_days: int = MAX_FAILING_DAYS) -> DataFrame:
     """The verdict per calendar year of the range, all years in one job."""
+    return verdicts_by_year(completeness_daily(clicks, control, start, end, threshold), max_failing_days)
+
+
+def verdicts_by_year(daily: DataFrame, max_failing_days: int = MAX_FAILING_DAYS) -> DataFrame:
     failing = F.count_if(~F.col("reach_threshold"))
-    return (completeness_daily(clicks, control, start, end, threshold)
-            .groupBy(F.year("utc_date").alias("year"))
+    return (daily.groupBy(F.year("utc_date").alias("year"))
             .agg(F.count("*").alias("days"), failing.alias("failing_days"),
                  (failing <= max_failing_days).alias("complete")))

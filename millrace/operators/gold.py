@@ -49,24 +49,38 @@ def gold_since(silver_new: DataFrame, gold_before: DataFrame) -> DataFrame:
     """Gold rows of the days in ``silver_new``, continuing from ``gold_before``.
 
     ``silver_new`` holds all silver rows from some day on, ``gold_before`` all gold rows before
-    that day. Of the history only the last entry of each customer-product pair that
-    occurs in the new days is used; other pairs leave the plan at the semi join.
+    that day; only the last entry of each customer-product pair is used of it.
     """
-    daily = gold_daily_signed(silver_new)
-    touched = daily.select(F.col("email").alias("t_email"),
-                           F.col("product_id").alias("t_product_id")).distinct()
-    last = (gold_before
-            .select("email", "product_id", "date", "transaction_type", "daily_signed_price")
-            .join(touched,
-                  F.col("email").eqNullSafe(F.col("t_email"))
-                  & F.col("product_id").eqNullSafe(F.col("t_product_id")),
-                  "left_semi")
-            .groupBy("email", "product_id")
-            .agg(F.max(F.struct("date", "transaction_type", "daily_signed_price")).alias("e"))
-            .select("email", "product_id", "e.date", F.year("e.date").alias("year"),
-                    F.month("e.date").alias("month"), "e.transaction_type",
-                    "e.daily_signed_price", F.lit(False).alias("_new")))
-    both = daily.withColumn("_new", F.lit(True)).unionByName(last)
+    return gold_after(gold_daily_signed(silver_new), last_entries(gold_before))
+
+
+# Columns of a last entry; the order decides which of two entries is the later.
+ENTRY = ("date", "transaction_type", "daily_signed_price")
+
+
+def last_entries(gold: DataFrame) -> DataFrame:
+    """The last entry of every customer and product, one row each."""
+    return (gold.groupBy("email", "product_id").agg(F.max(F.struct(*ENTRY)).alias("entry"))
+            .select("email", "product_id", "entry.*"))
+
+
+def merged_entries(last: DataFrame, new: DataFrame) -> DataFrame:
+    """Last entries of two tables of gold rows or last entries; it is the same operation."""
+    columns = ["email", "product_id", *ENTRY]
+    return last_entries(last.select(*columns).unionByName(new.select(*columns)))
+
+
+def gold_after(daily: DataFrame, last: DataFrame) -> DataFrame:
+    """Gold rows of new days (``gold_daily_signed``), continuing from the last entries before them.
+
+    Entries of pairs that do not occur in the new days leave the plan at the semi join.
+    """
+    touched = daily.select(F.col("email").alias("t_email"), F.col("product_id").alias("t_product_id")).distinct()
+    entries = (last.join(touched, F.col("email").eqNullSafe(F.col("t_email"))
+                         & F.col("product_id").eqNullSafe(F.col("t_product_id")), "left_semi")
+               .select("email", "product_id", "date", F.year("date").alias("year"), F.month("date").alias("month"),
+                       "transaction_type", "daily_signed_price", F.lit(False).alias("_new")))
+    both = daily.withColumn("_new", F.lit(True)).unionByName(entries)
     return with_previous(both).filter("_new").drop("_new")
 
 

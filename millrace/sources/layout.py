@@ -55,6 +55,22 @@ class Layout:
         """Log of what finished runs have loaded and checked, one row per run."""
         return f"{self.base}/_state/{name}"
 
+    def changes(self, name: str) -> str:
+        """Change log of a bronze table, one folder per feed and part."""
+        return f"{self.base}/_changes/{name}"
+
+    def taken(self, name: str, consumer: str) -> str:
+        """Parts of the change log a consumer has taken in."""
+        return f"{self.base}/_state/{name}_taken_by_{consumer}"
+
+    def step(self, at: datetime, step: str) -> str:
+        """Marker of a finished step of a run."""
+        return f"{self.base}/_state/steps/{run_stamp(at)}/{step}"
+
+    def entries(self, slot: int) -> str:
+        """Last gold entry of every customer and product; two slots, written in turn."""
+        return f"{self.base}/_state/last_entries/slot{slot}"
+
     def report(self, name: str) -> str:
         return f"{self.base}/sales_report/{name}"
 

@@ -21,6 +21,7 @@ BRONZE_SCHEMAS = {
 
 # Full-snapshot tables and incremental fact tables.
 SNAPSHOT_TABLES = ("products", "users")
+SNAPSHOT_KEYS = {"products": "product_id", "users": "account_id"}
 FACT_TABLES = ("transactions", "clickstream")
 
 # The columns a transactions table must have, and those that must not be null.

@@ -64,7 +64,7 @@ def test_local_rows(spark):
     rows = [(day("2024-01-01"), 1, None)]
     assert bag(control_totals(spark, rows)) == rows
     assert control_totals(spark, rows).dtypes == [
-        ("utc_date", "date"), ("hits_num", "int"), ("visitors_num", "int")]
+        ("utc_date", "date"), ("hits_num", "bigint"), ("visitors_num", "bigint")]
     named = spark.createDataFrame([(1.5, "pass")], ["date", "null_check"])
     assert named.dtypes == [("date", "double"), ("null_check", "string")]
 
