@@ -50,10 +50,14 @@ def mom_growth(monthly: DataFrame) -> DataFrame:
 
 
 def sales_report(gold: DataFrame, products: DataFrame, product_id: str | None = None,
-                 as_of: date | None = None) -> DataFrame:
-    """Monthly report of one product, or of all, sorted by product and month."""
+                 as_of: date | None = None, whole: DataFrame | None = None) -> DataFrame:
+    """Monthly report of one product, or of all, sorted by product and month.
+
+    ``whole`` is where the latest date is looked up: where ``gold`` is a query and not a table, its
+    silver rows have the same dates and spare its aggregations.
+    """
     chosen = gold if product_id is None else gold.filter(F.col("product_id") == product_id)
-    growth = mom_growth(monthly_sales(complete_months(chosen, as_of, whole=gold)))
+    growth = mom_growth(monthly_sales(complete_months(chosen, as_of, whole=gold if whole is None else whole)))
     return (growth
             .join(products.select("product_id", "product_name"), "product_id", "left")
             .orderBy("product_id", "year", "month")

@@ -30,11 +30,14 @@ users as (
          1577836800 + c_custkey * 3600 as first_time_time_stamp
   from customer)"""
 
-PRODUCTS = """
-products as (
+ALL_PRODUCTS = """
+all_products as (
   select p_brand as product_id, 'Product ' || p_brand as product_name,
          cast(min(p_retailprice) as decimal(18,2)) as price
-  from part where p_brand <> 'Brand#25' group by p_brand)"""
+  from part group by p_brand)"""
+
+PRODUCTS = f"""{ALL_PRODUCTS},
+products as (select * from all_products where product_id <> 'Brand#25')"""
 
 TRANSACTIONS = f"""
 transactions as ({TRANSACTIONS_OF.format(email=EMAIL, orders="orders")})"""
@@ -220,6 +223,12 @@ def gmt(column: str) -> str:
     return f"strftime(make_timestamp({column} * 1000000), '%Y-%m-%d %H:%M:%S')"
 
 
+SILVER_IDS = (f"hitid_high, hitid_low, visid_high, visid_low, {gmt('hit_time_gmt')} as hit_gmt_timestamp, "
+              "utc_date as date")
+DAY_COPIES = """
+copies as (select *, count(*) as n_dup from tx_dirty group by all)"""
+
+
 def sql(*ctes: str, select: str) -> str:
     return f"with {','.join(ctes)}\n{select}"
 
@@ -247,13 +256,18 @@ def oracles() -> dict[str, str]:
             select="select order_id, utc_date from transactions "
                    "where utc_date <= (select max(date) from silver_target) "
                    "except select order_id, date from silver_target"),
-        "high_watermark": sql(SILVER_TARGET, select="select max(date) as max_date from silver_target"),
+        "high_watermark": sql(TRANSACTIONS, select="select max(utc_date) as max_date from transactions"),
         "ingest_range": sql(
-            SILVER_TARGET,
-            select="select cast(max(date) + interval 1 day as date) as start_date, "
-                   "date '2001-07-31' as end_date, "
-                   "cast(year(max(date) + interval 1 day) as integer) as year "
-                   "from silver_target"),
+            TRANSACTIONS,
+            select="select cast(max(utc_date) + interval 1 day as date) as start_date, "
+                   "date '2001-08-31' as end_date, "
+                   "cast(year(max(utc_date) + interval 1 day) as integer) as year "
+                   "from transactions"),
+        "load_time": sql(USERS, select="select account_id, '2024-02-01 12:00:00' as etl_loaded_at from users"),
+        "last_entries": sql(
+            *to_gold, select="select email, product_id, date, transaction_type, daily_signed_price from gold "
+                             "qualify row_number() over (partition by email, product_id "
+                             "order by date desc, transaction_type desc) = 1"),
         "date_bounds": sql(
             CLICKSTREAM, select="select min(utc_date) as min_date, max(utc_date) as max_date "
                                 "from clickstream"),
@@ -264,7 +278,7 @@ def oracles() -> dict[str, str]:
         "silver_users": sql(
             USERS, select=f"select account_id, email, {gmt('first_time_time_stamp')} "
                           "as first_timestamp from users"),
-        "silver_products": sql(PRODUCTS, select="select * from products"),
+        "silver_products": sql(ALL_PRODUCTS, select="select * from all_products"),
         "silver_transactions": sql(*to_silver, select="select * from silver"),
         "silver_clickstream": sql(
             CLICKSTREAM,
@@ -344,6 +358,45 @@ counts as (
                    "case when duplicate_groups > 0 then 'fail' else 'pass' end "
                    "as duplicates_check, 'pass' as all_cols_check, null_rows, "
                    "duplicate_groups, surplus_rows from counts"),
+        "day_checks": sql(
+            TX_DIRTY, DAY_COPIES,
+            select=f"""select utc_date, cast(sum(n_dup) as bigint) as rows,
+       cast(coalesce(sum(n_dup) filter ({ANY_NULL}), 0) as bigint) as null_rows,
+       count(*) filter (n_dup > 1) as duplicate_groups, cast(sum(n_dup - 1) as bigint) as surplus_rows
+from copies group by utc_date"""),
+        "transaction_checks_range": sql(
+            TX_DIRTY, DAY_COPIES,
+            f"""
+counts as (
+  select cast(coalesce(sum(n_dup) filter ({ANY_NULL}), 0) as bigint) as null_rows,
+         count(*) filter (n_dup > 1) as duplicate_groups,
+         cast(coalesce(sum(n_dup - 1), 0) as bigint) as surplus_rows
+  from copies where utc_date between date '2000-06-01' and date '2001-07-15')""",
+            select="select case when null_rows > 0 then 'fail' else 'pass' end as null_check, "
+                   "case when duplicate_groups > 0 then 'fail' else 'pass' end "
+                   "as duplicates_check, 'pass' as all_cols_check, null_rows, "
+                   "duplicate_groups, surplus_rows from counts"),
+        "column_check": sql(
+            TRANSACTIONS,
+            select="""select case when utc_date between date '1998-01-01' and date '1999-12-31'
+            then 'email' else '' end as missing,
+       case when utc_date >= date '2000-01-01' then 'channel' else '' end as extra,
+       case when utc_date < date '1998-01-01' then 'pass' else 'fail' end as all_cols_check,
+       count(*) as n_rows
+from transactions group by all"""),
+        "qa_history": sql(
+            CLICKSTREAM, CLICKS_3Y, control_totals("control_3y", "clicks_3y"),
+            daily("daily", "clicks_3y", "control_3y", "2024-01-01", "2026-01-30"), select="select * from daily"),
+        "both_ingests": sql(
+            CLICKSTREAM, select=f"select {CLICK_IDS}, hit_time_gmt from clickstream"),
+        "snapshot_redelivered": sql(
+            *to_silver, select="select order_id, product_id, product_name, cast(case product_id when 'Brand#1' "
+                               "then 2 * price else price end as decimal(18,2)) as price from silver"),
+        "repair_reaches_silver": sql(
+            CLICKSTREAM, select=f"""select {SILVER_IDS} from clickstream
+where not (pagename = 'error' and utc_date = date '2024-01-15')"""),
+        "late_days_reach_silver": sql(CLICKSTREAM, select=f"select {SILVER_IDS} from clickstream"),
+        "medallion_run": sql(*to_report, select=f"select {REPORT_COLUMNS} from report"),
         "landing_ingest": sql(
             CLICKSTREAM, select=f"select {CLICK_IDS}, hit_time_gmt from clickstream"),
         "recursive_scan": sql(

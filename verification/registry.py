@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,12 +80,12 @@ def late_rows(spark, sf_dir):
 
 @register
 def high_watermark(spark, sf_dir):
-    return incremental.high_watermark(sc.silver_target(spark, sf_dir))
+    return incremental.high_watermark(sc.transactions(spark, sf_dir), "utc_date")
 
 
 @register
 def ingest_range(spark, sf_dir):
-    return incremental.ingest_range(sc.silver_target(spark, sf_dir), as_of=date(2001, 8, 1))
+    return incremental.ingest_range(sc.transactions(spark, sf_dir), as_of=date(2001, 9, 1), column="utc_date")
 
 
 @register
@@ -107,7 +107,13 @@ def silver_users(spark, sf_dir):
 
 @register
 def silver_products(spark, sf_dir):
-    return silver.silver_products(sc.products(spark, sf_dir)).drop("etl_loaded_at")
+    return silver.silver_products(sc.all_products(spark, sf_dir)).drop("etl_loaded_at")
+
+
+@register
+def load_time(spark, sf_dir):
+    users = silver.silver_users(sc.users(spark, sf_dir), loaded_at=datetime(2024, 2, 1, 12))
+    return users.select("account_id", F.col("etl_loaded_at").cast("string").alias("etl_loaded_at"))
 
 
 @register
@@ -144,6 +150,14 @@ def gold_continued(spark, sf_dir):
     return before.unionByName(gold.gold_since(sales.filter(F.col("date") >= split), before))
 
 
+@register
+def last_entries(spark, sf_dir):
+    """Last entries up to 2000, brought up to date with the gold rows of later days."""
+    rows, split = gold_of(spark, sf_dir), F.lit(date(2001, 1, 1))
+    before = gold.last_entries(rows.filter(F.col("date") < split))
+    return gold.merged_entries(before, rows.filter(F.col("date") >= split))
+
+
 @register
 def adjusted_signed_price(spark, sf_dir):
     return gold.with_adjusted_price(gold_of(spark, sf_dir))
@@ -151,13 +165,13 @@ def adjusted_signed_price(spark, sf_dir):
 
 @register
 def complete_months(spark, sf_dir):
-    return (report.complete_months(gold_of(spark, sf_dir))
+    return (report.complete_months(gold_of(spark, sf_dir), whole=silver_of(spark, sf_dir))
             .select("email", "product_id", "date", "transaction_type"))
 
 
 @register
 def monthly_sales(spark, sf_dir):
-    return report.monthly_sales(report.complete_months(gold_of(spark, sf_dir)))
+    return report.monthly_sales(report.complete_months(gold_of(spark, sf_dir), whole=silver_of(spark, sf_dir)))
 
 
 @register
@@ -168,12 +182,13 @@ def mom_growth(spark, sf_dir):
 @register
 def report_one_product(spark, sf_dir):
     return report.sales_report(gold_of(spark, sf_dir), sc.products(spark, sf_dir),
-                               product_id="Brand#1")
+                               product_id="Brand#1", whole=silver_of(spark, sf_dir))
 
 
 @register
 def report_all_products(spark, sf_dir):
-    return report.sales_report(gold_of(spark, sf_dir), sc.products(spark, sf_dir))
+    return report.sales_report(gold_of(spark, sf_dir), sc.products(spark, sf_dir),
+                               whole=silver_of(spark, sf_dir))
 
 
 @register
@@ -233,6 +248,11 @@ def duplicate_rows(spark, sf_dir):
             .select("order_id", "transaction_type", "n_dup"))
 
 
+@register
+def day_checks(spark, sf_dir):
+    return transaction_checks.day_checks(sc.tx_dirty(spark, sf_dir))
+
+
 def check_row(spark, sf_dir):
     return transaction_checks.transaction_checks(sc.tx_dirty(spark, sf_dir))
 

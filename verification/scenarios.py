@@ -41,14 +41,19 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("first_time_time_stamp"))
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (read(spark, sf_dir, "part").filter(F.col("p_brand") != "Brand#25")
+def all_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (read(spark, sf_dir, "part")
             .groupBy(F.col("p_brand").alias("product_id"))
             .agg(F.min("p_retailprice").cast(MONEY).alias("price"))
             .select("product_id", F.concat(F.lit("Product "), "product_id").alias("product_name"),
                     "price"))
 
 
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup of sales: one brand is unknown to it."""
+    return all_products(spark, sf_dir).filter(F.col("product_id") != "Brand#25")
+
+
 def transactions_of(spark: SparkSession, sf_dir: str, orders: DataFrame,
                     email: Column | None = None) -> DataFrame:
     """Transactions of the given orders: one per order and type, items in line order.

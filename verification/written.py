@@ -5,20 +5,26 @@ The folder lies below the one the cluster names for intermediate data (``shared_
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.silver import silver_clickstream
+from millrace.functions.expressions import MONEY
+from millrace.operators.lookups import broadcast_if_small
+from millrace.operators.silver import silver_clickstream, silver_transactions
+from millrace.operators.snapshots import require_unique
 from millrace.plans.pipeline import PipelineConfig, run_pipeline
-from millrace.plans.quality import repair_clickstream
+from millrace.plans.quality import (
+    check_delivered_columns, check_history, columns_path, counts_of_days, repair_clickstream, summarise_days,
+    transaction_checks_between,
+)
 from millrace.session import shared_folder
 from millrace.sources.layout import Layout
 from millrace.sources.sinks import append_rows, overwrite_table, replace_partitions
 from millrace.sources.tables import scan_bronze, scan_recursive, scan_table
-from millrace.streaming.landing import ingest_landing
+from millrace.streaming.landing import ingest_landing, ingest_range, ingest_snapshot
 from verification import scenarios as sc
 
 RUN_AT = datetime(2024, 2, 1, 12, 0, 0)
@@ -71,6 +77,96 @@ def repair_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_bronze(spark, layout, "clickstream").select(*sc.CLICK_IDS)
 
 
+def both_ingests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries of clicks loaded by date range and by stream: each file and day is in bronze once."""
+    layout = new_layout(spark)
+    clicks = sc.clickstream(spark, sf_dir)
+    first = F.col("pagename") == "view"
+    append_rows(clicks.filter(first), layout.landing("clickstream"))
+    ingest_range(spark, layout, "clickstream", date(2024, 1, 1), date(2024, 1, 15))
+    append_rows(clicks.filter(~first), layout.landing("clickstream"))
+    ingest_landing(spark, layout, "clickstream")
+    ingest_range(spark, layout, "clickstream", date(2024, 1, 10), date(2024, 1, 30))
+    return scan_bronze(spark, layout, "clickstream").select(*sc.CLICK_IDS, "hit_time_gmt")
+
+
+def snapshot_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales after products were delivered three times: at twice the price, all but one brand again, and that once more."""
+    layout = new_layout(spark)
+    products = sc.products(spark, sf_dir)
+    dearer = products.withColumn("price", (F.col("price") * 2).cast(MONEY))
+    for delivery in (dearer, products.filter("product_id <> 'Brand#1'"), products.filter("product_id <> 'Brand#1'")):
+        append_rows(delivery, layout.landing("products"))
+        ingest_snapshot(spark, layout, "products")
+    known = require_unique(scan_table(spark, layout.table("bronze", "products")), "product_id")
+    return (silver_transactions(sc.transactions(spark, sf_dir), broadcast_if_small(known))
+            .select("order_id", "product_id", "product_name", "price"))
+
+
+def click_runs(spark: SparkSession, sf_dir: str, deliveries: list[DataFrame], refetch: DataFrame | None = None) -> DataFrame:
+    """Silver clicks after one run per delivery, a day apart, and one more where there is a refetch."""
+    layout = new_layout(spark)
+    control, attempts, at = sc.control_totals(spark, sf_dir), [], RUN_AT
+    for delivery in deliveries:
+        append_rows(delivery, layout.landing("clickstream"))
+        run_pipeline(spark, PipelineConfig(layout, at, control=control))
+        at += timedelta(days=1)
+    if refetch is not None:
+        attempts.append(layout.attempt("clickstream", at))
+        overwrite_table(refetch, attempts[0])
+        run_pipeline(spark, PipelineConfig(layout, at, control=control, attempts=attempts))
+    return scan_table(spark, layout.table("silver", "clickstream")).select(
+        "hitid_high", "hitid_low", "visid_high", "visid_low", "hit_gmt_timestamp", "date")
+
+
+def repair_reaches_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An incomplete delivery is loaded; the refetch of a later run completes bronze, silver and all."""
+    return click_runs(spark, sf_dir, [sc.clicks_base(spark, sf_dir)], sc.clicks_attempt(spark, sf_dir))
+
+
+def late_days_reach_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of the same days, a run after each."""
+    clicks, late = sc.clickstream(spark, sf_dir), F.col("pagename") == "view"
+    return click_runs(spark, sf_dir, [clicks.filter(~late), clicks.filter(late)])
+
+
+def column_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions delivered with all columns, without one, and with one more: what the footers tell."""
+    layout = new_layout(spark)
+    rows, day = sc.transactions(spark, sf_dir), F.col("utc_date")
+    without, more = date(1998, 1, 1), date(2000, 1, 1)
+    for delivery in (rows.filter(day < F.lit(without)),
+                     rows.filter((day >= F.lit(without)) & (day < F.lit(more))).drop("email"),
+                     rows.filter(day >= F.lit(more)).withColumn("channel", F.lit("web"))):
+        append_rows(delivery, layout.landing("transactions"))
+    check_delivered_columns(spark, layout, "transactions", RUN_AT)
+    files = scan_table(spark, columns_path(layout, "transactions", RUN_AT))
+    return (files.groupBy(F.array_join("missing", ",").alias("missing"), F.array_join("extra", ",").alias("extra"),
+                          "all_cols_check").agg(F.sum("rows").alias("n_rows")).filter("n_rows > 0"))
+
+
+def transaction_checks_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of a range of days from kept counts; the days arrive in two deliveries, checked after each."""
+    layout = new_layout(spark)
+    rows, later = sc.tx_dirty(spark, sf_dir), F.col("utc_date") >= F.lit(date(2001, 1, 1))
+    for n, delivery in enumerate((rows.filter(later), rows.filter(~later))):
+        append_rows(delivery, layout.landing("transactions"))
+        ingest_landing(spark, layout, "transactions")
+        summarise_days(spark, layout, RUN_AT + timedelta(hours=n))
+    return transaction_checks_between(spark, layout, date(2000, 6, 1), date(2001, 7, 15))
+
+
+def qa_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completeness of every day of three years from kept counts, the days delivered in two parts."""
+    layout = new_layout(spark)
+    clicks, late = sc.clicks_3y(spark, sf_dir), F.col("pagename") == "error"
+    for n, delivery in enumerate((clicks.filter(~late), clicks.filter(late))):
+        append_rows(delivery, layout.landing("clickstream"))
+        ingest_landing(spark, layout, "clickstream")
+        counts_of_days(spark, layout, RUN_AT + timedelta(hours=n))
+    return check_history(spark, layout, sc.control_totals_of(clicks))
+
+
 def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report at the end of a whole run: landing, checks, silver, gold."""
     layout = new_layout(spark)
@@ -83,7 +179,7 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, config)
 
 
-# ``medallion_run`` writes one file per day of six years in several tables: on small test data
-# that is thousands of tiny files, so it is run by the tests and not registered.
 WRITTEN = {query.__name__: query for query in (
-    landing_ingest, recursive_scan, partition_replace, repair_run)}
+    landing_ingest, recursive_scan, partition_replace, repair_run, both_ingests, snapshot_redelivered,
+    repair_reaches_silver, late_days_reach_silver, column_check, transaction_checks_range, qa_history,
+    medallion_run)}
