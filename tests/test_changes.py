@@ -1,0 +1,215 @@
+"""What deliveries, repairs and failures of a run leave in the tables."""
+
+import os
+from datetime import timedelta
+
+import pytest
+from pyspark.errors import PySparkException
+
+from helpers import bag, day, money, plan_of, tuples
+from millrace.operators.gold import gold_after, gold_daily_signed, gold_transactions
+from millrace.operators.snapshots import repeated_keys, require_unique
+from millrace.operators.transaction_checks import day_checks, merged_checks, transaction_checks
+from millrace.plans import loads, pipeline
+from millrace.plans.loads import entries_through, load_transactions, mark_of
+from millrace.plans.pipeline import PipelineConfig, run_pipeline
+from millrace.plans.quality import check_delivered_columns, columns_path, counts_of_days
+from millrace.plans.state import gold_state
+from millrace.sources.changes import changes, days_of, on_days, pending
+from millrace.sources.control import control_totals
+from millrace.sources.layout import run_stamp
+from millrace.sources.schemas import BRONZE_SCHEMAS
+from millrace.sources.tables import scan_bronze, scan_table
+from millrace.streaming.landing import ingest_landing, ingest_range, ingest_snapshot
+from test_pipeline import AT, click, deliver, layout, sale, shop, write  # noqa: F401
+
+NEXT = AT + timedelta(days=1)
+
+
+def products(spark, layout, *rows):
+    write(spark, "products", [(p, name, money(price)) for p, name, price in rows], layout.landing("products"))
+    ingest_snapshot(spark, layout, "products")
+    return bag(scan_table(spark, layout.table("bronze", "products")))
+
+
+def test_the_latest_delivery_of_a_key_counts(spark, layout):  # noqa: F811
+    ingest_snapshot(spark, layout, "products")
+    assert tuples(scan_table(spark, layout.table("bronze", "products"))) == []
+    products(spark, layout, ("p", "Pen", "2"), ("q", "Quill", "5"))
+    want = [("p", "Pen", money("3")), ("q", "Quill", money("5")), ("r", None, money("1"))]
+    for _ in range(2):
+        assert products(spark, layout, ("p", "Pen", "3"), ("p", "Pen", "3"), ("r", None, "1")) == want
+    rows = [("p", "Pen", money("3")), ("p", "Pencil", money("3"))]
+    spark.createDataFrame(rows, BRONZE_SCHEMAS["products"]).coalesce(1).write.mode("append").parquet(layout.landing("products"))
+    with pytest.raises(PySparkException, match="different rows of one delivery for product_id p"):
+        ingest_snapshot(spark, layout, "products")
+
+
+def test_redelivered_snapshots_leave_sales_alone(spark, shop):  # noqa: F811
+    run_pipeline(spark, PipelineConfig(shop, AT))
+    before = bag(scan_table(spark, shop.table("silver", "transactions")).drop("etl_loaded_at"))
+    products(spark, shop, ("p", "Pen", "2"), ("q", "Quill", "5"))
+    write(spark, "users", [("1", "new@x", 0)], shop.landing("users"))
+    deliver(spark, shop, [sale("9", "2024-03-01")])
+    run_pipeline(spark, PipelineConfig(shop, NEXT))
+    after = bag(scan_table(spark, shop.table("silver", "transactions")).drop("etl_loaded_at"))
+    assert len(after) == len(before) + 1 and set(before) < set(after)
+    assert [r.email for r in scan_table(spark, shop.table("silver", "users")).collect()] == ["new@x"]
+
+
+def test_repeated_products_stop_the_load(spark, shop):  # noqa: F811
+    run_pipeline(spark, PipelineConfig(shop, AT))
+    twice = spark.createDataFrame([("p", "Pen", money("2"))] * 2 + [(None, "x", money("1"))] * 2, BRONZE_SCHEMAS["products"])
+    assert tuples(repeated_keys(twice, "product_id")) == [("p", 2)]
+    assert require_unique(twice.limit(1), "product_id").count() == 1
+    twice.write.mode("append").parquet(shop.table("bronze", "products"))
+    with pytest.raises(ValueError, match="rows with product_id 'p'"):
+        load_transactions(spark, shop, AT, days=[day("2024-01-05")])
+
+
+def test_repaired_days_reach_silver(spark, shop):  # noqa: F811
+    """A day of the run is delivered in part, and refetched for the run after it."""
+    control = control_totals(spark, [(day(d), 4, 4) for d in ("2024-02-28", "2024-02-29", "2024-03-01")])
+    deliver(spark, shop, [], [click(n, "2024-03-01") for n in range(2)])
+    run_pipeline(spark, PipelineConfig(shop, AT, control=control))
+    refetch = shop.attempt("clickstream", NEXT)
+    write(spark, "clickstream", [click(n, "2024-03-01") for n in range(4)], refetch)
+    run_pipeline(spark, PipelineConfig(shop, NEXT, control=control, attempts=[refetch], max_failing_days=0))
+    assert scan_bronze(spark, shop, "clickstream").count() == 12
+    silver = scan_table(spark, shop.table("silver", "clickstream"))
+    assert silver.count() == 12 and silver.filter("date = '2024-03-01'").count() == 4
+    history = scan_table(spark, shop.qa("clickstream", "history"))
+    assert bag(history.select("utc_date", "num_of_hitid", "reach_threshold")) == [
+        (day(d), 4, True) for d in ("2024-02-28", "2024-02-29", "2024-03-01")]
+
+
+def test_an_old_day_is_repaired_when_its_refetch_comes(spark, shop):  # noqa: F811
+    control = control_totals(spark, [(day("2024-02-28"), 6, 6), (day("2024-02-29"), 4, 4)])
+    run_pipeline(spark, PipelineConfig(shop, AT, control=control, max_failing_days=0))
+    refetch = shop.attempt("clickstream", NEXT)
+    write(spark, "clickstream", [click(n, "2024-02-28") for n in range(6)], refetch)
+    run_pipeline(spark, PipelineConfig(shop, NEXT, control=control, attempts=[refetch], max_failing_days=0))
+    silver = scan_table(spark, shop.table("silver", "clickstream"))
+    assert silver.count() == 10 and silver.filter("date = '2024-02-28'").count() == 6
+    # Only the changed day was counted again for the last run.
+    counted = scan_table(spark, shop.qa("clickstream", "days")).filter(f"part = '{run_stamp(NEXT)}-repaired'")
+    assert [r.utc_date for r in counted.collect()] == [day("2024-02-28")]
+
+
+def test_files_through_both_ingests_are_loaded_once(spark, layout):  # noqa: F811
+    def loaded():
+        return bag(scan_bronze(spark, layout, "transactions").select("order_id", "utc_date"))
+
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    deliver(spark, layout, [sale(f"a{d}", d) for d in days])
+    ingest_range(spark, layout, "transactions", day(days[0]), day(days[1]))
+    assert len(loaded()) == 2
+    deliver(spark, layout, [sale(f"b{d}", d) for d in days])
+    for _ in range(2):
+        ingest_landing(spark, layout, "transactions")
+        assert len(loaded()) == 6 and len(set(loaded())) == 6
+        ingest_range(spark, layout, "transactions", day(days[1]), day(days[2]))
+        assert len(loaded()) == 6 and len(set(loaded())) == 6
+    log = changes(spark, layout, "transactions")
+    assert log.agg({"rows": "sum"}).first()[0] >= 6
+    assert {r.feed for r in log.select("feed").collect()} == {"landed", "ranged"}
+
+
+def test_columns_of_delivered_files_are_checked(spark, shop):  # noqa: F811
+    run_pipeline(spark, PipelineConfig(shop, AT))
+    checks = scan_table(spark, shop.qa("transactions", "checks"))
+    assert tuples(checks.select("null_check", "all_cols_check")) == [("pass", "pass")]
+    rows = spark.createDataFrame([sale("7", "2024-03-01")], BRONZE_SCHEMAS["transactions"]).coalesce(1)
+    rows.drop("email").withColumnRenamed("items", "goods").write.mode("append").parquet(shop.landing("transactions"))
+    check_delivered_columns(spark, shop, "transactions", NEXT)
+    found = scan_table(spark, columns_path(shop, "transactions", NEXT))
+    assert tuples(found.select("rows", "missing", "extra", "all_cols_check")) == [(1, ["email", "items"], ["goods"], "fail")]
+    run_pipeline(spark, PipelineConfig(shop, NEXT))
+    checks = scan_table(spark, shop.qa("transactions", "checks")).orderBy("date")
+    assert tuples(checks.select("null_check", "all_cols_check", "null_rows")) == [("pass", "pass", 0), ("fail", "fail", 1)]
+
+
+def test_feeds_may_be_missing(spark, layout):  # noqa: F811
+    assert run_pipeline(spark, PipelineConfig(layout, AT)).collect() == []
+    control = control_totals(spark, [(day("2024-02-29"), 2, 2)])
+    write(spark, "clickstream", [click(n, "2024-02-29") for n in range(2)], layout.landing("clickstream"))
+    run = PipelineConfig(layout, NEXT, control=control)
+    assert run_pipeline(spark, run).collect() == []
+    assert scan_table(spark, layout.table("silver", "clickstream")).count() == 2
+    deliver(spark, layout, [sale("1", "2024-01-31")])
+    products(spark, layout, ("p", "Pen", "2"))
+    report = run_pipeline(spark, PipelineConfig(layout, NEXT + timedelta(days=1)))
+    assert tuples(report.select("product_name", "total_sales")) == [("Pen", money("2"))]
+
+
+@pytest.mark.parametrize("step", ["load_transactions", "refresh_gold", "finish_report", "finish"])
+def test_a_run_that_died_goes_on(spark, shop, monkeypatch, step):  # noqa: F811
+    def dies(*args, **kwargs):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, step, dies)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, PipelineConfig(shop, AT))
+    for name in ("ingest_landing", "ingest_snapshot", "load_users"):
+        monkeypatch.setattr(pipeline, name, dies)  # finished steps are not repeated
+    report = run_pipeline(spark, PipelineConfig(shop, AT))
+    again = run_pipeline(spark, PipelineConfig(shop, AT))
+    assert tuples(report) == tuples(again) and len(tuples(report)) == 4
+    assert scan_table(spark, shop.qa("transactions", "checks")).count() == 1
+    assert days_of(pending(spark, shop, "transactions", "silver")) == []
+
+
+def test_an_increment_of_gold_reads_no_gold_day(spark, shop):  # noqa: F811
+    run_pipeline(spark, PipelineConfig(shop, AT))
+    deliver(spark, shop, [sale("5", "2024-03-02"), sale("6", "2024-03-02", kind="return", items=("q",))])
+    state = gold_state(spark, shop)
+    assert state.loaded_to == day("2024-02-29")
+    ingest_landing(spark, shop, "transactions")
+    load_transactions(spark, shop, AT)
+    silver = scan_table(spark, shop.table("silver", "transactions"))
+    new = gold_after(gold_daily_signed(silver.filter("date > '2024-02-29'")),
+                     entries_through(spark, shop, state.loaded_to, state))
+    assert not [file for file in new.inputFiles() if "/gold/" in file]
+    earlier = entries_through(spark, shop, day("2024-01-31"), state)
+    assert [file for file in earlier.inputFiles() if "/gold/" in file]
+    loads.refresh_gold(spark, shop)
+    rebuilt = gold_transactions(scan_table(spark, shop.table("silver", "transactions")))
+    assert bag(scan_table(spark, shop.table("gold", "transactions")).select(*rebuilt.columns)) == bag(rebuilt)
+    assert gold_state(spark, shop).loaded_to == day("2024-03-02")
+    assert scan_table(spark, shop.entries(gold_state(spark, shop).slot)).count() == 2
+
+
+def test_marks_come_from_finished_runs(spark, shop, monkeypatch):  # noqa: F811
+    run_pipeline(spark, PipelineConfig(shop, AT))
+    monkeypatch.setattr(loads, "watermark_of", None)
+    assert mark_of(spark, shop, "transactions") == mark_of(spark, shop, "clickstream") == day("2024-02-29")
+
+
+def test_unchanged_days_are_not_counted_again(spark, shop, monkeypatch):  # noqa: F811
+    ingest_landing(spark, shop, "clickstream")
+    first = bag(counts_of_days(spark, shop, AT))
+    assert first == [(day("2024-02-28"), 4, 4), (day("2024-02-29"), 4, 4)]
+    parts = os.listdir(shop.qa("clickstream", "days"))
+    assert bag(counts_of_days(spark, shop, NEXT)) == first
+    assert os.listdir(shop.qa("clickstream", "days")) == parts
+    deliver(spark, shop, [], [click(9, "2024-02-29")])
+    ingest_landing(spark, shop, "clickstream")
+    assert bag(counts_of_days(spark, shop, NEXT)) == [(day("2024-02-28"), 4, 4), (day("2024-02-29"), 5, 5)]
+    redone = scan_table(spark, shop.qa("clickstream", "days")).filter(f"part = '{run_stamp(NEXT)}-before'")
+    assert [r.utc_date for r in redone.collect()] == [day("2024-02-29")]
+
+
+def test_day_counts_add_up_to_the_checks(spark):
+    rows = [sale("1", "2024-01-01"), sale("1", "2024-01-01"), sale("2", "2024-01-02", email=None), sale("3", "2024-01-02")]
+    df = spark.createDataFrame(rows, BRONZE_SCHEMAS["transactions"])
+    assert bag(day_checks(df)) == [(day("2024-01-01"), 2, 0, 1, 1), (day("2024-01-02"), 2, 1, 0, 0)]
+    assert tuples(merged_checks(day_checks(df))) == tuples(transaction_checks(df))
+    assert tuples(merged_checks(day_checks(df.limit(0)))) == tuples(transaction_checks(df.limit(0)))
+
+
+def test_days_are_pruned(spark, shop):  # noqa: F811
+    ingest_landing(spark, shop, "transactions")
+    rows = on_days(scan_bronze(spark, shop, "transactions"), [day("2024-01-05"), None])
+    assert [r.order_id for r in rows.collect()] == ["1"]
+    assert "PartitionFilters: [((utc_date" in plan_of(rows) or "PartitionFilters: [(utc_date" in plan_of(rows)
