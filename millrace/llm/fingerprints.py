@@ -8,10 +8,12 @@ the two thresholds, below which both are whole.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import whole_text
+from millrace.llm.common import whole_text, written
 
 WORDS = 5
 FRACTION = 1 / 8
@@ -81,49 +83,117 @@ def merged(a: str, b: str) -> Column:
                     F.least(f"{a}.below", f"{b}.below").alias("below"))
 
 
-def neighbours(rows: DataFrame) -> DataFrame:
-    """Distinct (doc_id, tie, n_chars) with the key of the document before it in ascending order, and that one's
-    n_chars; the first comes after the last. Rows are sorted by range; only one row per range meets in one task."""
+RANGE_CHARS, MAX_RANGES = 1 << 22, 100_000  # characters of a range, about; more where that would be too many ranges
+SAMPLED = 8                                 # sampled documents per range
+
+
+def cuts_of(keys: DataFrame, range_chars: int) -> list[tuple[int, int]]:
+    """First (doc_id, tie) of every range but the first, from a sample by content."""
+    n, chars = keys.agg(F.count("*"), F.coalesce(F.sum("n_chars"), F.lit(0))).first()
+    ranges = min(MAX_RANGES, n, -(-chars // range_chars))
+    if ranges < 2:
+        return []
+    share = min(1.0, SAMPLED * ranges / n)
+    chosen = F.xxhash64("doc_id", "tie") < int((share - 0.5) * (1 << 64)) if share < 1 else F.lit(True)
+    sample = sorted(tuple(r) for r in keys.filter(chosen).select(first_id(), "tie", "n_chars").collect())
+    step, reached, cuts = sum(x[2] for x in sample) / ranges, 0, []
+    for doc_id, tie, size in sample:
+        if reached >= step * (len(cuts) + 1):
+            cuts.append((doc_id, tie))
+        reached += size
+    return sorted(set(cuts))
+
+
+def first_id() -> Column:
+    """Null ids come first."""
+    return F.coalesce("doc_id", F.lit(-(1 << 63)))
+
+
+def range_of(cuts: list[tuple[int, int]]) -> Column:
+    """Number of cuts at or before (doc_id, tie): first among groups of cuts, then within one."""
+    # Never a constant: the window and the join by range would lose their key.
+    cuts = cuts or [((1 << 63) - 1, (1 << 63) - 1)]
+    width = max(1, round(len(cuts) ** 0.5))
+    groups = [cuts[i:i + width] for i in range(0, len(cuts), width)]
+    key, cut = F.struct(first_id().alias("d"), F.col("tie").alias("t")), "struct<d:bigint,t:bigint>"
+
+    def constant(value, kind: str) -> Column:
+        return F.from_json(F.lit(json.dumps(value)), kind)
+
+    def named(pairs):
+        return [{"d": d, "t": t} for d, t in pairs]
+
+    heads = constant(named(group[0] for group in groups), f"array<{cut}>")
+    inner = constant([named(group) for group in groups], f"array<array<{cut}>>")
+    group = F.size(F.filter(heads, lambda x: x <= key)) - 1
+    within = F.size(F.filter(F.get(inner, group), lambda x: x <= key))
+    return F.when(group < 0, F.lit(0)).otherwise(group * width + within)
+
+
+def same_key(left: DataFrame, right: DataFrame, doc_id: str, tie: str) -> Column:
+    return left["doc_id"].eqNullSafe(right[doc_id]) & (left["tie"] == right[tie])
+
+
+def documents_once(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows with ``copies``: rows that repeat doc_id and text are one, collapsed in the map tasks; rows of other
+    keys are not shuffled for it."""
+    repeated = written(keys.groupBy("doc_id", "tie").agg(F.count("*").alias("copies")).filter("copies > 1")
+                       .select(F.col("doc_id").alias("d"), F.col("tie").alias("t")), "repeated-keys")
+    if repeated.isEmpty():
+        return rows.withColumn("copies", F.lit(1).cast("bigint"))
+    same = same_key(rows, repeated, "d", "t")
+    once = rows.join(repeated, same, "left_semi").groupBy("doc_id", "tie").agg(
+        F.first("text").alias("text"), F.first("n_chars").alias("n_chars"), F.count("*").alias("copies"))
+    return rows.join(repeated, same, "left_anti").withColumn("copies", F.lit(1).cast("bigint")).unionByName(once)
+
+
+def next_of_ranges(rows: DataFrame, keys: DataFrame, place: Column) -> DataFrame:
+    """Per range the document after its last one (after the last range: the first document): range, what the
+    last one wants of it, and its text."""
     key = F.struct(F.col("doc_id").alias("d"), F.col("tie").alias("t"), F.col("n_chars").alias("n"))
-    ordered = (rows.select("doc_id", "tie", "n_chars").distinct().repartitionByRange("doc_id", "tie")
-               .withColumn("range", F.spark_partition_id()).withColumn("key", key))
-    by_range, all_ranges = Window.partitionBy("range").orderBy("key"), Window.orderBy("range")
-    whole = all_ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = (ordered.groupBy("range").agg(F.max("key").alias("end"))
-            .select("range", F.coalesce(F.lag("end").over(all_ranges), F.max("end").over(whole)).alias("end")))
-    return (ordered.withColumn("before", F.lag("key").over(by_range)).join(F.broadcast(ends), "range")
-            .withColumn("before", F.coalesce("before", "end"))
-            .select("doc_id", "tie", F.col("before.d").alias("to_id"), F.col("before.t").alias("to_tie"),
-                    F.floor(F.col("before.n") / 4).cast("int").alias("wanted")))
+    ranges = keys.withColumn("range", place).groupBy("range").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    order = Window.orderBy("range")  # over one row per range
+    first = F.first("first").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    giver = ranges.withColumn("giver", F.coalesce(F.lead("first").over(order), first)).select(
+        "range", F.col("giver.d").alias("d"), F.col("giver.t").alias("t"),
+        F.floor(F.col("last.n") / 4).cast("int").alias("wanted"))
+    giver = F.broadcast(giver)  # at most MAX_RANGES rows of four numbers
+    return (rows.join(giver, same_key(rows, giver, "d", "t")).dropDuplicates(["range"])
+            .select(F.col("range").alias("end_range"), F.substr("text", F.lit(1), "wanted").alias("end_beginning"),
+                    F.col("text").alias("end_text")))
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, fraction: float = FRACTION,
-                 least: int = LEAST) -> DataFrame:
+                 least: int = LEAST, range_chars: int = RANGE_CHARS) -> DataFrame:
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text ends, for its last quarter, with the beginning of the next document in ascending
     doc_id (null first; rows of one doc_id by a hash of their texts; rows that repeat both are one document, and
     the only document follows itself). Null texts count as empty. An empty input gives no row.
+
+    Texts are shuffled once, by ranges of that order; inside a range the next document is the next row, and
+    only the document after a range's last one comes from elsewhere.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text")).withColumn(
         "tie", F.xxhash64("text")).withColumn("n_chars", F.length("text").cast("bigint"))
-
-    def same(left: DataFrame, right: DataFrame, id_: str, tie: str):
-        return left["doc_id"].eqNullSafe(right[id_]) & (left["tie"] == right[tie])
-
-    # Each document sends what the one before it wants: a beginning, not its text.
-    order = neighbours(rows).withColumnsRenamed({"doc_id": "own_id", "tie": "own_tie"})
-    giving = rows.join(order, same(rows, order, "own_id", "own_tie")).select(
-        "to_id", "to_tie", "text", F.substr("text", F.lit(1), "wanted").alias("beginning"))
-    sent = (with_sketch(giving, "text", "next_sketch", words, fraction, least)
-            .groupBy("to_id", "to_tie").agg(F.first("beginning").alias("beginning"),
-                                            F.first("next_sketch").alias("next_sketch")))
-    out = rows.join(sent, same(rows, sent, "to_id", "to_tie")).withColumn("edited", F.concat(
-        F.substr("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")), "beginning"))
-    out = with_sketch(out, "text", "sketch", words, fraction, least)
+    keys = written(rows.select("doc_id", "tie", "n_chars"), "document-keys")
+    place = range_of(cuts_of(keys, range_chars))
+    ends = with_sketch(next_of_ranges(rows, keys, place), "end_text", "end_sketch", words, fraction, least).drop("end_text")
+    placed = documents_once(rows, keys).withColumn("range", place).repartition("range")
+    order = Window.partitionBy("range").orderBy("doc_id", "tie")
+    met = (with_sketch(placed, "text", "sketch", words, fraction, least)
+           .withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order)))
+    out = met.join(ends, F.col("range") == F.col("end_range"))
+    quarter = F.floor(F.col("n_chars") / 4).cast("int")
+    beginning = F.when(F.col("next_sketch").isNull(), F.col("end_beginning")).otherwise(
+        F.substr("next_text", F.lit(1), quarter))
+    out = out.withColumn("edited", F.concat(
+        F.substr("text", F.lit(1), F.col("n_chars").cast("int") - quarter), beginning)
+    ).withColumn("next_sketch", F.coalesce("next_sketch", "end_sketch")).drop("next_text", "text", "end_beginning", "end_sketch")
     out = with_sketch(out, "edited", "edited_sketch", words, fraction, least)
     out = with_likeness(out, "sketch", "edited_sketch", "near_edited")
     out = with_likeness(out, "sketch", "next_sketch", "near_next")
-    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                      as_text("sketch").alias("fingerprint"), as_text("edited_sketch").alias("edited_fingerprint"),
-                      "near_edited", "near_next")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        as_text("sketch").alias("fingerprint"), as_text("edited_sketch").alias("edited_fingerprint"),
+        "near_edited", "near_next")
