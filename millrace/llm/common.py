@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -36,11 +38,23 @@ def kept(key, make: Callable):
     """What a worker process remembers from task to task: one thing at a time, so that memories of
     different operators don't add up."""
     if key not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            give_back()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def give_back() -> None:
+    """Hand freed memory of this worker process back to the machine; allocators keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library: nothing to trim
+
+
 #: Bytes of rows that go to a Python worker at once; a single row may be larger.
 BATCH_BYTES = 1 << 24
 

@@ -19,14 +19,15 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.llm.common import arrow_schema, kept, map_rows, whole_text, written
+from millrace.llm.common import arrow_schema, bounded_batches, kept, map_rows, whole_text, written
 from millrace.llm.components import components
 
 WORDS, THRESHOLD = 5, 75  # a shingle's words; percent
@@ -384,16 +385,25 @@ def keep_one(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) ->
     doc = F.col("doc")
     winners = members.groupBy("component").agg(
         F.min_by(F.struct("doc", "node"), F.struct(doc.isNull(), doc, F.col("node"))).alias("kept")
-    ).select(F.col("kept.doc").alias("__doc"), F.col("kept.node").alias("__node"))
-
-    @F.pandas_udf("bigint")
-    def node(texts: pd.Series) -> pd.Series:
-        return pd.Series([node_of(shingles(x, words)) for x in texts], dtype="Int64")
-
-    blank = whole_text().rlike(r"^[\x09-\x0D ]*$")
-    keyed = docs.filter(~blank).withColumn("__own", node("text"))
-    met = keyed.join(winners, (F.col("__own") == F.col("__node"))
-                     & F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")))
-    once = Window.partitionBy("__own", "__doc").orderBy("__own")
-    kept = met.withColumn("__nth", F.row_number().over(once)).filter("__nth = 1")
-    return kept.select(*docs.columns).union(docs.filter(blank))
+    ).select(F.col("kept.doc").alias("doc"), F.col("kept.node").alias("own"))
+    keyed, doc_id = with_node(docs, words)
+    met = keyed.filter("node IS NOT NULL").join(winners, (F.col("node") == F.col("own"))
+                                                & doc_id.eqNullSafe(F.col("doc"))).drop("doc", "own")
+    once = Window.partitionBy("node", doc_id).orderBy("node")
+    kept = met.withColumn("nth", F.row_number().over(once)).filter("nth = 1").drop("nth")
+    return kept.unionByName(keyed.filter("node IS NULL")).drop("node").toDF(*docs.columns)
+
+
+def with_node(docs: DataFrame, words: int) -> tuple[DataFrame, "F.Column"]:
+    """The rows, columns renamed c0, c1, ... so that no name clashes, with their node; and their doc_id."""
+    bounded_batches(docs.sparkSession)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text, schema = docs.columns.index("text"), StructType([*plain.schema.fields, StructField("node", LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            nodes = [node_of(shingles(x.as_py() or "", words)) for x in batch.column(text)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], schema=arrow)
+
+    return plain.mapInArrow(run, schema), F.col(f"c{docs.columns.index('doc_id')}").cast("bigint")

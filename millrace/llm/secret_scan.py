@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, whole_text
+from millrace.llm.common import bounded_batches, map_rows, whole_text
 
 # The base patterns and the least lengths of what they must find.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -189,13 +189,18 @@ def redacted_text(text: str, mask: str) -> str:
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """The rows with every span of ``scan`` replaced by ``mask`` (overlapping spans by one) and
     n_chars set to the length that results; rows without a span keep their text and n_chars."""
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("string")
     def masked(texts):
         return texts.map(lambda x: None if x is None else redacted_text(x, mask))
 
-    done = docs.withColumn("__masked", masked("text"))
-    changed = F.col("text") != F.col("__masked")
+    # Columns by place: no name of the caller's clashes with one in here.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index('text')}"
+    done = plain.withColumn("masked", masked(text))
+    changed = F.col(text) != F.col("masked")
+    new = {"text": F.col("masked"), "n_chars": F.length("masked")}
     return done.select(*[
-        F.when(changed, F.col("__masked")).otherwise(F.col("text")).alias("text") if c == "text" else
-        F.when(changed, F.length("__masked")).otherwise(F.col("n_chars")).alias("n_chars")
-        if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+        F.when(changed, new[c]).otherwise(F.col(f"c{i}")).alias(c) if c in new else F.col(f"c{i}").alias(c)
+        for i, c in enumerate(docs.columns)])

@@ -19,10 +19,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept, map_rows, whole_text, written
+from millrace.llm.common import bounded_batches, kept, map_rows, whole_text, written
 
 SAMPLE = 16_000     # most labelled training rows that the model is fitted on, half of each label
-MAX_TERMS = 2_000   # most terms and stems
 LEAST_RATIO = 8.0   # of a term's share of toxic to its share of other documents; chance is ruled out by a test
 LEAST_DOCUMENTS, LEAST_SHARE = 3, 0.01
 STEM_LENGTHS = range(4, 8)
@@ -93,7 +92,7 @@ class Lexicon:
         for length in STEM_LENGTHS:
             if len(word) > length and word[:length] in self.stems:
                 return self.stems[word[:length]]
-        if len(word) < FUZZY_LENGTH or len(word) > 30 or word in self.lookalikes:
+        if len(word) < FUZZY_LENGTH or word in self.lookalikes:
             return 0.0
         n = len(word)
         if any((word[:k], n) in halves for k, halves in self.heads.items()) or any(
@@ -209,7 +208,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_other: int) -> Lexicon:
     bound = NormalDist().inv_cdf(1 - 1 / max(tested.count(), 20)) ** 2
     rows = (tested.filter((F.col("ratio") >= LEAST_RATIO)
                           & (likelihood_ratio(F.col("toxic"), F.col("other"), n_toxic, n_other) >= bound))
-            .orderBy(F.desc("toxic"), "feature").limit(MAX_TERMS).collect())
+            .collect())  # features of a bounded sample
     stems: dict[str, float] = {}
     # A stem is worth it where several words share it; one word's beginning is the word itself.
     words = {r["feature"]: r["toxic"] for r in rows if not r["feature"].endswith("*")}
@@ -230,7 +229,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_other: int) -> Lexicon:
 
     # Words near a term that occur in other documents as readily as in toxic ones are no misspellings.
     like = (features.filter(~F.col("feature").endswith("*") & (F.col("other") > 0) & (ratio < LEAST_RATIO))
-            .mapInPandas(near, features.schema).orderBy(F.desc("other"), "feature").limit(MAX_TERMS).collect())
+            .mapInPandas(near, features.schema).collect())
     return Lexicon(terms, stems, frozenset(r["feature"] for r in like))
 
 
@@ -295,6 +294,8 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows scored below the threshold; rows without a text stay."""
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("double")
     def score(texts):
         own = model.local()
