@@ -4,8 +4,8 @@ A text is a byte stream: its words with a blank before each and after the last,
 contexts of a byte are the ``order`` bytes before it and all their ends, across blanks; before a text
 stand pad bytes. Escapes follow method D, and symbols of the longer contexts are excluded from the
 shorter ones. All contexts of all training documents make up the model, which is a table: texts are
-gathered in blocks, the distinct grams of each block are joined to their code lengths, and every block is
-scored with its own. Nothing of the model is broadcast.
+gathered in blocks, the distinct grams of each block, packed, meet those of other blocks by parts and get
+their code lengths, and every block is scored with its own. Nothing of the model is broadcast.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, whole_text, written
+from millrace.llm.common import arrow_schema, map_rows, whole_text, written
+from millrace.llm.jaccard_join import from_planes, planes
 
 ORDER = 5
 MAX_ORDER = 6  # a context and its symbol are one bigint
@@ -32,7 +33,12 @@ BLANK, END = b" ", b"\n"  # no word holds white space
 PAD = b"\xff"  # in no UTF-8
 VOCABULARY = "word binary, n bigint"
 BLOCKS = "block bigint, doc_id array<bigint>, held_out array<boolean>, start array<bigint>, data binary, bytes bigint"
-GRAMS = "block bigint, gram bigint, n bigint"
+PART_BYTES = 16 << 20  # text whose grams meet in a part, about; blocks meet it in groups where there are MAX_PARTS
+MAX_PARTS = 4096
+MIX = 1_500_450_271  # a fixed odd number; times 32 bits it stays within 63
+GRAMS = "part bigint, block bigint, grams binary, n binary"
+COUNTED = "gram bigint, n bigint"
+CODES = "block bigint, part bigint, codes binary"
 PARTS = ("row bigint, doc_id bigint, held_out boolean, word binary, n bigint, n_tokens bigint, "
          "n_known bigint, base double")
 
@@ -69,74 +75,6 @@ def vocabulary(texts: DataFrame) -> DataFrame:
     return counted(texts.select("text"), VOCABULARY, add)
 
 
-def context_counts(words: DataFrame, order: int) -> DataFrame:
-    """(word, n): contexts up to ``order`` bytes, each with one following symbol as its last byte, of short texts
-    with counts. With ``context_trie`` and ``Scorer`` it is the plain model of one process, for comparison."""
-    def add(counts, batch):
-        for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
-            if word == END:
-                counts[END] += n
-                counts[BLANK + END] += n
-                continue
-            line = BLANK + word + BLANK
-            for i in range(1, len(line)):
-                for begin in range(max(0, i - order), i + 1):
-                    counts[line[begin:i + 1]] += n
-    return counted(words, VOCABULARY, add)
-
-
-def context_trie(grams: DataFrame, max_contexts: int) -> dict[bytes, tuple[bytes, list[int]]]:
-    """Context to (symbols, counts), for the most frequent contexts. A shorter context is at least as frequent
-    as a longer one that ends in it, so what is kept stays a trie."""
-    nodes = written(grams.groupBy(F.substring("word", 1, F.octet_length("word") - 1).alias("context"))
-                    .agg(F.sum("n").alias("total"),
-                         F.collect_list(F.struct(F.expr("substring(word, -1, 1)").alias("symbol"), "n")).alias("next")),
-                    "contexts")
-    by_total = nodes.groupBy("total").count().orderBy(F.desc("total"))
-    least, held = 1, 0
-    for r in by_total.limit(max_contexts + 1).toLocalIterator():  # no more totals than contexts matter
-        held += r["count"]
-        if held > max_contexts:
-            least = r["total"] + 1
-            break
-    return {bytes(r["context"]): (b"".join(bytes(x["symbol"]) for x in r["next"]), [x["n"] for x in r["next"]])
-            for r in nodes.filter(F.col("total") >= least).toLocalIterator()}
-
-
-class Scorer:
-    """log10 probabilities of bytes and words under a trie."""
-
-    def __init__(self, trie: dict, order: int):
-        self.trie, self.order = trie, order
-
-    def step(self, gram: bytes) -> float:
-        """log10 P(last byte | the bytes before it)."""
-        symbol, excluded, total = gram[-1], b"", 0.0
-        for begin in range(len(gram)):
-            node = self.trie.get(gram[begin:-1])
-            if node is None:
-                continue
-            symbols, counts = node
-            if excluded:
-                left = [(s, n) for s, n in zip(symbols, counts) if s not in excluded]
-                if not left:
-                    continue
-                room, own = 2 * sum(n for _, n in left), dict(left).get(symbol)
-                kinds = len(left)
-            else:
-                at = symbols.find(symbol)
-                room, own, kinds = 2 * sum(counts), counts[at] if at >= 0 else None, len(counts)
-            if own is not None:
-                return total + math.log10((2 * own - 1) / room)
-            total += math.log10(kinds / room)
-            excluded = symbols  # symbols of a longer context all follow the shorter one too
-        return total - math.log10(max(1, 256 - len(excluded)))
-
-    def word(self, word: bytes) -> float:
-        line = BLANK + word + BLANK
-        return sum(self.step(line[max(0, i - self.order):i + 1]) for i in range(1, len(line)))
-
-
 def stream_of(text: str, order: int) -> bytes:
     return PAD * order + BLANK + b"".join(word + BLANK for word in words_of(text)) + END
 
@@ -198,31 +136,95 @@ def place_grams(data: bytes, starts: np.ndarray, order: int) -> tuple[np.ndarray
     return grams[coded], sizes
 
 
-def block_grams(blocks: DataFrame, order: int) -> DataFrame:
-    """(block, gram, n): distinct grams of each block, n of them in training rows."""
+def part_of(gram, parts: int):
+    """The part of a gram, as numpy array or column: grams that share all but two bytes share it, so a part holds
+    runs of near values, and no beginning of a context is more than a few of them."""
+    mixed = (gram >> 16) * MIX if isinstance(gram, np.ndarray) else F.shiftright(gram, 16) * MIX
+    return (mixed >> 20) % parts if isinstance(gram, np.ndarray) else F.shiftright(mixed, 20) % parts
+
+
+def packed_by_part(distinct: np.ndarray, parts: int) -> list[np.ndarray]:
+    """Places of sorted grams, part by part."""
+    part = part_of(distinct, parts)
+    order = np.argsort(part, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
+
+
+def block_grams(blocks: DataFrame, order: int, parts: int) -> DataFrame:
+    """Distinct grams of each block with their number in training rows, packed: one row per block and part, the
+    grams sorted and as differences."""
     def start():
         def step(batch):
             for i in range(batch.num_rows if batch is not None else 0):
                 grams, sizes = place_grams(stream_bytes(batch, i), np.array(batch["start"][i].as_py()), order)
-                codes, distinct = pd.factorize(grams)
+                codes, distinct = pd.factorize(grams, sort=True)
                 train = np.repeat(~np.array(batch["held_out"][i].as_py(), bool), sizes)
                 n = np.bincount(codes[train], minlength=len(distinct))
-                by = np.argsort(distinct)
-                yield {"block": pa.repeat(batch["block"][i].as_py(), len(by)), "gram": distinct[by], "n": n[by]}
+                rows = packed_by_part(distinct, parts)
+                yield {"part": [int(part_of(distinct[x[:1]], parts)[0]) for x in rows],
+                       "block": [batch["block"][i].as_py()] * len(rows),
+                       "grams": [planes(np.diff(distinct[x], prepend=0)) for x in rows],
+                       "n": [planes(n[x].astype(np.int64)) for x in rows]}
         return step
     return map_rows(blocks, GRAMS, start)
 
 
+def unpacked(grams: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(grams, "<i8"))
+
+
+def counted_grams(packed: DataFrame, groups: int) -> DataFrame:
+    """(gram, n) of all blocks. A group of rows that meet is a part's, of one in ``groups`` blocks."""
+    schema = arrow_schema(packed.sparkSession, COUNTED)
+
+    def merge(table: pa.Table) -> pa.Table:
+        grams = np.concatenate([unpacked(x.as_py()) for x in table["grams"]])
+        n = np.concatenate([from_planes(x.as_py(), "<i8") for x in table["n"]])
+        distinct, place = np.unique(grams, return_inverse=True)
+        summed = np.zeros(len(distinct), np.int64)
+        np.add.at(summed, place, n)
+        return pa.table([distinct, summed], schema=schema)
+
+    merged = packed.groupBy("part", F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group")).applyInArrow(merge, COUNTED)
+    return merged if groups == 1 else merged.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def block_codes(packed: DataFrame, codes: DataFrame, parts: int, groups: int) -> DataFrame:
+    """Code lengths of each block's grams, in the order of its packed grams: one row per block and part."""
+    schema = arrow_schema(packed.sparkSession, CODES)
+
+    def pick(rows: pa.Table, known: pa.Table) -> pa.Table:
+        found = {"block": rows["block"], "part": rows["part"], "codes": []}
+        if rows.num_rows:
+            gram, code = known["gram"].to_numpy(), known["code"].to_numpy()
+            by = np.argsort(gram)
+            gram, code = gram[by], code[by]
+            for x in rows["grams"]:
+                own = unpacked(x.as_py())
+                at = np.minimum(np.searchsorted(gram, own), len(gram) - 1)
+                if (gram[at] != own).any():
+                    raise ValueError("grams of a block without their code lengths")
+                found["codes"].append(planes(code[at]))
+        return pa.Table.from_arrays([pa.chunked_array(found[f.name], f.type) if isinstance(found[f.name], pa.ChunkedArray)
+                                     else pa.array(found[f.name], f.type) for f in schema], schema=schema)
+
+    group = F.pmod(F.xxhash64("block"), F.lit(groups))
+    sent = codes.withColumn("part", part_of(F.col("gram"), parts)).withColumn(
+        "group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
+    return (packed.withColumn("group", group).groupBy("part", "group")
+            .cogroup(sent.groupBy("part", "group")).applyInArrow(pick, CODES))
+
+
 def code_lengths(grams: DataFrame, order: int) -> DataFrame:
-    """(gram, code): log10 P(last byte | the ``order`` bytes before it) of all distinct grams; those of n = 0 are
-    not in the model, only asked for.
+    """(gram, code): log10 P(last byte | the ``order`` bytes before it) of distinct grams with their counts (gram, n);
+    those of n = 0 are not in the model, only asked for.
 
     From the shortest contexts to the longest. Of a gram's level are kept: its count, kinds and total of its
     context, ``code`` as if this context were the first asked, and ``after``, the code once the context was left by
     an escape, its symbols excluded. A level's rows meet the next shorter one's by the gram without its first byte
     and their own context's by all but the last: at most 256 rows share either, however common a context is.
     """
-    levels = [written(grams.groupBy("gram").agg(F.sum("n").alias("n")), f"grams-{order}")]
+    levels = [written(grams, f"grams-{order}")]
     for k in range(order - 1, -1, -1):
         levels.insert(0, written(levels[0].groupBy(F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram"))
                                  .agg(F.sum("n").alias("n")), f"grams-{k}"))
@@ -249,24 +251,21 @@ def code_lengths(grams: DataFrame, order: int) -> DataFrame:
     return done.select("gram", "code")
 
 
-def block_scores(blocks: DataFrame, codes: DataFrame, order: int) -> DataFrame:
-    """(row, score): sums of the code lengths of each text's bytes; ``codes`` (block, gram, code) hold all of a block."""
-    tables = codes.groupBy("block").agg(F.collect_list(F.struct("gram", "code")).alias("codes"))
+def block_scores(blocks: DataFrame, codes: DataFrame, order: int, parts: int) -> DataFrame:
+    """(row, score): sums of the code lengths of each text's bytes; ``codes`` are those of ``block_codes``."""
+    tables = codes.groupBy("block").agg(F.collect_list(F.struct("part", "codes")).alias("codes"))
 
     def start():
         def step(batch):
             for i in range(batch.num_rows if batch is not None else 0):
                 starts = np.array(batch["start"][i].as_py())
                 grams, sizes = place_grams(stream_bytes(batch, i), starts, order)
-                places, distinct = pd.factorize(grams)
-                table = batch["codes"][i].values
-                known, code = (table.field(c).to_numpy() for c in ("gram", "code"))
-                by = np.argsort(known)
-                known, code = known[by], code[by]
-                at = np.searchsorted(known, distinct)
-                if len(known) != len(distinct) or (known[at] != distinct).any():
-                    raise ValueError("grams of a block without their code lengths")
-                sums = np.add.reduceat(code[at][places], np.cumsum(sizes) - sizes)
+                places, distinct = pd.factorize(grams, sort=True)
+                packed = {x["part"]: x["codes"] for x in batch["codes"][i].as_py()}
+                code = np.empty(len(distinct))
+                for rows in packed_by_part(distinct, parts):
+                    code[rows] = from_planes(packed[int(part_of(distinct[rows[:1]], parts)[0])], "<f8")
+                sums = np.add.reduceat(code[places], np.cumsum(sizes) - sizes)
                 block = batch["block"][i].as_py()
                 yield {"row": np.arange(block, block + len(starts)), "score": sums}
         return step
@@ -291,8 +290,11 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
     common = sc.broadcast({bytes(r["word"]): math.log10((r["n"] + 1) / room) for r in words.filter(
         (F.col("n") * frequent >= tokens) & (F.octet_length("word") <= FREQUENT_BYTES)).toLocalIterator()})
     blocks = written(text_blocks(rows, order), "blocks")
-    grams = written(block_grams(blocks, order), "block-grams")
-    codes = grams.select("block", "gram").join(code_lengths(grams, order), "gram")
+    size = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    n_parts = min(MAX_PARTS, max(1, -(-size // PART_BYTES)))
+    groups = max(1, -(-size // (PART_BYTES * n_parts)))
+    packed = written(block_grams(blocks, order, n_parts), "block-grams")
+    codes = block_codes(packed, code_lengths(counted_grams(packed, groups), order), n_parts, groups)
 
     def start():
         known = common.value
@@ -333,7 +335,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
     parts = map_rows(blocks, PARTS, start)
     joined = parts.join(words.select("word", F.col("n").alias("seen")), "word", "left").select(
         "row", "doc_id", "held_out", "n_tokens", "n_known", "base", "n", "seen")
-    scores = block_scores(blocks, codes, order)
+    scores = block_scores(blocks, codes, order, n_parts)
     return joined.unionByName(scores, allowMissingColumns=True).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),

@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter
 
+import plain_ppm
 from cases import awkward_texts, frame
 
 from millrace.llm import ppm
@@ -48,8 +49,8 @@ def plain_step(counts, gram):
 def test_model_is_a_distribution_and_agrees_with_a_plain_one(spark):
     words = {b"abc": 5, b"abd": 2, b"b": 9, b"cab": 1, b"\n": 4}
     df = spark.createDataFrame([(bytearray(w), n) for w, n in words.items()], ppm.VOCABULARY)
-    trie = ppm.context_trie(ppm.context_counts(df, 3), 1000)
-    scorer = ppm.Scorer(trie, 3)
+    trie = plain_ppm.context_trie(plain_ppm.context_counts(df, 3), 1000)
+    scorer = plain_ppm.Scorer(trie, 3)
     counts = {c: dict(zip(s, n)) for c, (s, n) in trie.items()}
     assert counts[b""][ord("a")] == 8 and counts[b"ab"] == {ord("c"): 5, ord("d"): 2, ord(" "): 1}
     for context in (b" ", b" ab", b"abc", b" zz", b"cab"):
@@ -61,7 +62,7 @@ def test_model_is_a_distribution_and_agrees_with_a_plain_one(spark):
             total += p
         assert math.isclose(total, 1.0)
     assert scorer.word(b"abc") > scorer.word(b"abq") > scorer.word(b"xyzzyq")
-    assert len(ppm.context_trie(ppm.context_counts(df, 3), 3)) <= 3
+    assert len(plain_ppm.context_trie(plain_ppm.context_counts(df, 3), 3)) <= 3
 
 
 def test_few_rows(spark):
@@ -91,6 +92,8 @@ def plain_scores(rows, order):
 
 def test_scores_over_whole_texts_and_all_contexts(spark, monkeypatch):
     monkeypatch.setattr(ppm, "BLOCK_BYTES", 3000)  # several blocks a task
+    monkeypatch.setattr(ppm, "PART_BYTES", 4000)   # several parts,
+    monkeypatch.setattr(ppm, "MAX_PARTS", 7)       # met by blocks in several groups
     assert ppm.ORDER == 5
     texts = awkward_texts() + [f"word{i} of the {chr(97 + i % 26) * (i % 7)} lot {i * i}" for i in range(150)]
     texts += ["zq\x00xj ꙮ"] * 7
