@@ -20,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import bounded_batches, kept, map_rows, whole_text, written
+from millrace.llm.jaccard_join import shingles
 
 SAMPLE = 16_000     # most labelled training rows that the model is fitted on, half of each label
 LEAST_RATIO = 8.0   # of a term's share of toxic to its share of other documents; chance is ruled out by a test
 LEAST_DOCUMENTS, LEAST_SHARE = 3, 0.01
 STEM_LENGTHS = range(4, 8)
 FUZZY_LENGTH, MISSPELT = 5, 0.7
+MARKS = 4  # shingle hashes by which near copies in the sample are known
 WINDOW = 4
 THRESHOLD = 0.7
 MEMO = 200_000
@@ -158,6 +160,33 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), len(hits), sum(f == QUOTED for _, f in hits)
 
 
+def distinct_documents(sample: DataFrame) -> DataFrame:
+    """The sample without near copies: what a copied document says is said once, not by many documents.
+
+    A row goes if another one, earlier by a hash of its text, shares one of ``MARKS`` smallest shingle hashes, each
+    under a mixing of its own; texts of mostly the same shingles nearly always do. A text with both labels counts as toxic.
+    """
+    mixes = np.arange(1, 2 * MARKS, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+    def start():
+        def step(batch):
+            if batch is not None:
+                marks = []
+                for text in batch["text"]:
+                    grams = shingles(text.as_py())
+                    mixed = [grams * mix for mix in mixes] if len(grams) else []
+                    marks.append([int((x ^ (x >> np.uint64(32))).min() >> np.uint64(1)) for x in mixed])
+                yield {"text": batch["text"], "toxic": batch["toxic"], "id": batch["id"], "marks": marks}
+        return step
+
+    once = sample.groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("id", F.xxhash64("text"))
+    marked = written(map_rows(once, "text string, toxic int, id bigint, marks array<bigint>", start), "toxicity-marks")
+    each = marked.select("id", F.posexplode("marks").alias("nth", "mark"))
+    first = each.groupBy("nth", "mark").agg(F.min("id").alias("first"))
+    later = each.join(first, ["nth", "mark"]).filter("id <> first").select("id").distinct()
+    return marked.join(later, "id", "left_anti").select("text", "toxic")
+
+
 def features_of(text: str) -> set[str]:
     """Distinct words, and beginnings of longer words marked by a star."""
     words = set(WORD.findall(text.lower()))
@@ -244,8 +273,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
-    """Learn from at most ``sample_rows`` labelled rows, the first by hash of each label, none of the held-out ones
-    (crc32(doc_id as text) mod 3 is 1). Without both labels in the sample every score is the share of toxic rows."""
+    """Learn from at most ``sample_rows`` labelled rows, the first by hash of each label, near copies among them once,
+    none of the held-out ones (crc32(doc_id as text) mod 3 is 1). Without both labels in the sample every score is the share of toxic rows."""
     usable = (labels.filter(F.col("toxic").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1))
               .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")))
     chosen = None
@@ -254,7 +283,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))
     # At most ``sample_rows`` rows: small enough to broadcast whatever the tables hold.
-    sample = written(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxicity-sample")
+    labelled = written(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxicity-labelled")
+    sample = written(distinct_documents(labelled), "toxicity-sample")
     counts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_other, n_toxic = counts.get(0, 0), counts.get(1, 0)
     if not n_other or not n_toxic:
@@ -267,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
                 rows = [inputs_of(*lexicon.hits(t)) for t in batch["text"].to_pylist()]
                 yield {"x": rows, "toxic": batch["toxic"].to_pylist()}
         return step
-    points = map_rows(sample, "x array<double>, toxic int", start).collect()
+    points = map_rows(labelled, "x array<double>, toxic int", start).collect()
     return Model(lexicon, fit_logistic(np.array([r["x"] for r in points]), np.array([r["toxic"] for r in points], float)))
 
 
