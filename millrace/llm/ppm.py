@@ -25,7 +25,7 @@ from millrace.llm.jaccard_join import from_planes, planes
 
 ORDER = 5
 MAX_ORDER = 6  # a context and its symbol are one bigint
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 FREQUENT = 1_000_000  # words of a share of at least one in this many are broadcast: so many at most
 FREQUENT_BYTES = 64
 FLUSH = 400_000
@@ -33,6 +33,7 @@ BLANK, END = b" ", b"\n"  # no word holds white space
 PAD = b"\xff"  # in no UTF-8
 VOCABULARY = "word binary, n bigint"
 BLOCKS = "block bigint, doc_id array<bigint>, held_out array<boolean>, start array<bigint>, data binary, bytes bigint"
+PIECE = 1 << 20  # places of a block that are looked up at once
 PART_BYTES = 16 << 20  # text whose grams meet in a part, about; blocks meet it in groups where there are MAX_PARTS
 MAX_PARTS = 4096
 MIX = 1_500_450_271  # a fixed odd number; times 32 bits it stays within 63
@@ -158,8 +159,11 @@ def block_grams(blocks: DataFrame, order: int, parts: int) -> DataFrame:
             for i in range(batch.num_rows if batch is not None else 0):
                 grams, sizes = place_grams(stream_bytes(batch, i), np.array(batch["start"][i].as_py()), order)
                 codes, distinct = pd.factorize(grams, sort=True)
+                del grams
                 train = np.repeat(~np.array(batch["held_out"][i].as_py(), bool), sizes)
-                n = np.bincount(codes[train], minlength=len(distinct))
+                n = np.zeros(len(distinct), np.int64)
+                for a in range(0, len(codes), PIECE):
+                    n += np.bincount(codes[a:a + PIECE][train[a:a + PIECE]], minlength=len(distinct))
                 rows = packed_by_part(distinct, parts)
                 yield {"part": [int(part_of(distinct[x[:1]], parts)[0]) for x in rows],
                        "block": [batch["block"][i].as_py()] * len(rows),
@@ -251,6 +255,14 @@ def code_lengths(grams: DataFrame, order: int) -> DataFrame:
     return done.select("gram", "code")
 
 
+def pieces(first: np.ndarray, end: int):
+    """Beginnings of texts in runs of about ``PIECE`` places, each with the run's first and last place."""
+    cuts = np.unique(np.searchsorted(first, np.arange(0, end, PIECE), side="left"))
+    for a, b in zip(cuts, [*cuts[1:].tolist(), len(first)]):
+        if a < b:
+            yield first[a:b], int(first[a]), int(first[b]) if b < len(first) else end
+
+
 def block_scores(blocks: DataFrame, codes: DataFrame, order: int, parts: int) -> DataFrame:
     """(row, score): sums of the code lengths of each text's bytes; ``codes`` are those of ``block_codes``."""
     tables = codes.groupBy("block").agg(F.collect_list(F.struct("part", "codes")).alias("codes"))
@@ -261,11 +273,14 @@ def block_scores(blocks: DataFrame, codes: DataFrame, order: int, parts: int) ->
                 starts = np.array(batch["start"][i].as_py())
                 grams, sizes = place_grams(stream_bytes(batch, i), starts, order)
                 places, distinct = pd.factorize(grams, sort=True)
+                del grams
                 packed = {x["part"]: x["codes"] for x in batch["codes"][i].as_py()}
                 code = np.empty(len(distinct))
                 for rows in packed_by_part(distinct, parts):
                     code[rows] = from_planes(packed[int(part_of(distinct[rows[:1]], parts)[0])], "<f8")
-                sums = np.add.reduceat(code[places], np.cumsum(sizes) - sizes)
+                first = np.cumsum(sizes) - sizes
+                sums = np.concatenate([np.add.reduceat(code[places[a:b]], own - a)
+                                       for own, a, b in pieces(first, len(places))])
                 block = batch["block"][i].as_py()
                 yield {"row": np.arange(block, block + len(starts)), "score": sums}
         return step

@@ -93,6 +93,7 @@ def plain_scores(rows, order):
 def test_scores_over_whole_texts_and_all_contexts(spark, monkeypatch):
     monkeypatch.setattr(ppm, "BLOCK_BYTES", 3000)  # several blocks a task
     monkeypatch.setattr(ppm, "PART_BYTES", 4000)   # several parts,
+    monkeypatch.setattr(ppm, "PIECE", 50)
     monkeypatch.setattr(ppm, "MAX_PARTS", 7)       # met by blocks in several groups
     assert ppm.ORDER == 5
     texts = awkward_texts() + [f"word{i} of the {chr(97 + i % 26) * (i % 7)} lot {i * i}" for i in range(150)]
