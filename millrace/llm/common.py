@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import resource
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -55,6 +56,21 @@ def give_back() -> None:
         pass  # another C library: nothing to trim
 
 
+#: Resident size from which a worker process hands memory back between tasks and groups.
+LARGE_WORKER = 320 << 20
+
+
+def tidy() -> None:
+    """Hand memory back if this worker has grown: idle workers beside busy ones keep what they hold."""
+    try:
+        with open("/proc/self/statm") as sizes:
+            resident = int(sizes.read().split()[1]) * resource.getpagesize()
+    except OSError:
+        return  # another system: nothing to read
+    if resident > LARGE_WORKER:
+        give_back()
+
+
 #: Bytes of rows that go to a Python worker at once; a single row may be larger.
 BATCH_BYTES = 1 << 24
 
@@ -79,6 +95,8 @@ def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable]) -> DataF
                 yield pa.RecordBatch.from_pydict(columns, schema=arrow)
         for columns in step(None):
             yield pa.RecordBatch.from_pydict(columns, schema=arrow)
+        del step
+        tidy()
 
     arrow = arrow_schema(df.sparkSession, schema)
     return df.mapInArrow(run, schema)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.llm.common import arrow_schema, bounded_batches, kept, map_rows, whole_text, written
+from millrace.llm.common import arrow_schema, bounded_batches, kept, map_rows, tidy, whole_text, written
 from millrace.llm.components import components
 
 WORDS, THRESHOLD = 5, 75  # a shingle's words; percent
@@ -164,6 +164,7 @@ def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
     schema = arrow_schema(rows.sparkSession, INCIDENCE)
 
     def count(table: pa.Table) -> pa.Table:
+        tidy()
         block = table["block"][0].as_py()
         grams, node, known = [], [], []
         for nodes, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "grams", "at"))):
@@ -209,6 +210,7 @@ def gathered(shared: DataFrame, nodes: DataFrame, blocks: int, threshold: int) -
     schema = arrow_schema(shared.sparkSession, NEAR)
 
     def gather(table: pa.Table, known: pa.Table) -> pa.Table:
+        tidy()
         if not table.num_rows:
             return schema.empty_table()
         grams, node = [], []
@@ -283,6 +285,7 @@ def products(rows: DataFrame, unit: list[str], threshold: int) -> DataFrame:
     schema = arrow_schema(rows.sparkSession, LINKS)
 
     def multiply(table: pa.Table) -> pa.Table:
+        tidy()
         node = table["node"].to_numpy()
         _, one = np.unique(node, return_index=True)
         found = []
@@ -405,5 +408,6 @@ def with_node(docs: DataFrame, words: int) -> tuple[DataFrame, "F.Column"]:
         for batch in batches:
             nodes = [node_of(shingles(x.as_py() or "", words)) for x in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], schema=arrow)
+        tidy()
 
     return plain.mapInArrow(run, schema), F.col(f"c{docs.columns.index('doc_id')}").cast("bigint")
