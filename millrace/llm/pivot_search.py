@@ -19,14 +19,20 @@ PIVOTS = 48
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 8192
 EVALUATE = 256
+LARGEST = 1 << 23
 TABLE = ("vec_id bigint, dim int, vector array<bigint>, norm bigint, distances array<double>, "
          "is_query boolean, spread bigint")
 HITS = "query_id bigint, vec_id bigint, score bigint, evaluated bigint"
 
 
 def quantised(column: str, scale: int) -> "F.Column":
-    """Components as ``floor(scale * x)``, computed as double."""
-    return F.transform(column, lambda x: F.floor(x.cast("double") * scale))
+    """Components as ``floor(scale * x)``, computed as double. From ``LARGEST`` on they raise an error: sums of
+    products would not stay exact."""
+    def component(x):
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < LARGEST, F.floor(y)).otherwise(
+            F.raise_error(F.lit(f"a component times {scale} reaches {LARGEST}")).cast("bigint"))
+    return F.transform(column, component)
 
 
 def usable(column: str) -> "F.Column":
@@ -66,8 +72,9 @@ def search_block(queries: dict, candidates: dict, k: int) -> list[tuple]:
         order = np.argsort(-bound, kind="stable")
         order = order[order_ids[order] != queries["vec_id"][q]]
         best, at = [], 0
-        # Scores are integers and the bounds' rounding is far below 0.5.
-        while at < len(order) and (len(best) < k or bound[order[at]] + 0.5 >= -best[-1][0]):
+        # Scores are integers; the bounds' rounding is far below 0.5 or, for large norms, this share of them.
+        slack = 0.5 + 1e-9 * float(queries["norm"][q] + candidates["norm"].max())
+        while at < len(order) and (len(best) < k or bound[order[at]] + slack >= -best[-1][0]):
             part = order[at:at + EVALUATE]
             scores = candidates["vector"][part] @ queries["vector"][q]
             best = sorted([*best, *zip((-scores).tolist(), order_ids[part].tolist())])[:k]

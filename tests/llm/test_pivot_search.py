@@ -1,6 +1,8 @@
 import math
 import random
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millrace.llm.pivot_search import pivot_top_k
@@ -53,3 +55,12 @@ def test_few_rows(spark):
     assert pivot_top_k(vectors(spark, [(0, [1.])]), F.col("vec_id") % 2 == 0).count() == 0
     got = pivot_top_k(vectors(spark, [(0, [1.]), (1, [1.]), (3, [1.])]), F.col("vec_id") % 2 == 0)
     assert [(r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(1, 65536), (3, 65536)]
+
+
+def test_large_components(spark):
+    rows = [(0, [30000., 1., -30000.]), (1, [-30000., 2., 30000.]), (2, [29999., 1., 0.]), (3, [0., 32000., 0.]), (5, [1., 1., 1.])]
+    got = pivot_top_k(vectors(spark, rows), F.col("vec_id") % 2 == 0, 5)
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == brute(rows, 5, 2)
+    for huge in (1e8, -1e20):
+        with pytest.raises(PySparkException):
+            pivot_top_k(vectors(spark, [(0, [huge]), (1, [1.])]), F.col("vec_id") % 2 == 0).collect()
