@@ -48,6 +48,7 @@ def silver_transactions(transactions: DataFrame, products: DataFrame,
     Pass ``products`` through ``broadcast_if_small`` to join without shuffling the items.
     """
     priced = products.select("product_id", "product_name", F.col("price").cast(MONEY).alias("price"))
+    # Fixed values below: columns of the cleaned transactions table, in order.
     return (explode_items(transactions)
             .join(priced, "product_id")
             .select("order_id", "email",
