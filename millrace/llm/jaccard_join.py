@@ -2,9 +2,12 @@
 
 1. Every document becomes the set of 64-bit hashes of its n-grams. Documents with equal sets are one
    node, keyed by the hash of the set.
-2. The incidence of nodes and n-grams is cut into column blocks by n-gram. A block counts nodes per
-   n-gram and keeps the n-grams of two or more, with the count (up to 127) before 56 bits of the hash. A node with fewer than ``threshold`` of its n-grams
-   among those can't have a partner and is dropped: that leaves the near copies.
+2. The incidence of documents and n-grams is cut into column blocks by n-gram, packed by flush: the distinct
+   sets a task held at once, numbered from 0, so that no node key travels with an n-gram. A block counts
+   per n-gram the sets of all flushes that have it (up to 127, before 56 bits of the hash) and sends back
+   those of two or more. A node knows in how many flushes it lies itself: n-grams counted more often are
+   shared with another node. With fewer than ``threshold`` of its n-grams shared it can't have a partner
+   and is dropped: that leaves the near copies.
 3. A partner must share one of a node's first ``n - ceil(threshold * n) + 1`` n-grams, in the order
    (rarest first, then by hash). Nodes joined by such n-grams, directly or not, form a group;
    links never leave it.
@@ -17,6 +20,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ BLOCK_GRAMS = 1 << 21     # n-grams of a column block, about
 FLUSH_GRAMS, FLUSH_DOCS = 1 << 21, 60_000
 BLOCK_NODES, BLOCK_CELLS = 512, 1 << 20  # nodes and n-grams of a row block, about
 PIVOTS = 32
-LOCAL_HOT, HOT = 16, 127  # nodes of an n-gram: in one task, to bypass its block; highest count kept
+LOCAL_HOT, HOT = 16, 127  # nodes of an n-gram: in one flush, to bypass its block; highest count kept
 COLUMNS = 2048
 KNOWN = np.uint16(65535)
 MEMO_WORDS = 150_000
@@ -99,21 +103,36 @@ def from_planes(data: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(by_byte.T).view(dtype).ravel()
 
 
-#: Incidences of a block: its nodes, and per incidence n-gram and place in ``nodes``.
-INCIDENCE = "block bigint, nodes binary, grams binary, at binary"
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Sorted values as their differences, in planes."""
+    return planes(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def from_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, "<u8"), dtype=np.uint64)
+
+
+#: Incidences of a block within a flush: n-grams (56 bits, sorted) and places in the flush's ``nodes``. The
+#: flush's nodes and their sizes are a row of their own, with block null.
+INCIDENCE = "block bigint, flush bigint, grams binary, at binary, nodes array<bigint>, sizes array<bigint>"
 
 
 def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
     """Rows of the column blocks. What a task sends for one n-gram is bounded: of an n-gram that is very
-    common in the task its block hears once, and its nodes go to block ``blocks + node % blocks``."""
+    common in the flush its block hears once, and its places go to a block ``blocks + flush % blocks``.
+    Flushes get random names: write the rows before use, so that no recomputed task renames them."""
     def start():
         sets, held, seen = [], 0, set()
 
         def flush():
             nonlocal sets, held, seen
-            nodes = np.array([node for node, _ in sets], np.int64)
-            grams = np.concatenate([x for _, x in sets])
-            at = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for _, x in sets])
+            name = int.from_bytes(os.urandom(8), "little") >> 1
+            sizes = [len(x) for _, x in sets]
+            yield {"block": [None], "flush": [name], "grams": [None], "at": [None],
+                   "nodes": [[node for node, _ in sets]], "sizes": [sizes]}
+            grams = np.concatenate([x for _, x in sets]) >> np.uint64(8)
+            at = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
+            sets, held, seen = [], 0, set()
             order = np.argsort(grams)
             grams, at = grams[order], at[order]
             first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
@@ -121,24 +140,18 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
             common = np.repeat(count > LOCAL_HOT, count)
             told = ~common
             told[first] = True
-            # Blocks are ranges of the hash, so what is sorted in a block has its high bits in common.
-            block = ((grams[told] >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-            yield from rows(nodes, grams[told], np.where(common, KNOWN, at)[told], block.astype(np.int64))
             if common.any():
-                yield from rows(nodes, grams[common], at[common], blocks + nodes[at[common]] % blocks)
-            sets, held, seen = [], 0, set()
-
-        def rows(nodes, grams, at, block):
-            order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order])) + 1
-            for part in np.split(order, cuts):
-                used, places = np.unique(at[part], return_inverse=True)
-                places = places.astype(np.uint16)
-                if used[-1] == KNOWN:
-                    places[at[part] == KNOWN] = KNOWN
-                    used = used[:-1]
-                yield {"block": [int(block[part[0]])], "nodes": [nodes[used].tobytes()],
-                       "grams": [planes(grams[part])], "at": [planes(places)]}
+                yield row(blocks + name % blocks, name, grams[common], at[common])
+            grams, at = grams[told], np.where(common, KNOWN, at)[told]
+            # Blocks are ranges of the hash: ascending here, and what a block holds differs little.
+            block = ((grams >> np.uint64(24)) * np.uint64(blocks)) >> np.uint64(32)
+            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            for low, high in zip(cuts, np.r_[cuts[1:], len(block)]):
+                yield row(int(block[low]), name, grams[low:high], at[low:high])
+
+        def row(block, name, grams, at):
+            return {"block": [block], "flush": [name], "grams": [pack_sorted(grams)], "at": [planes(at)],
+                    "nodes": [None], "sizes": [None]}
 
         def step(batch):
             nonlocal held
@@ -158,83 +171,86 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
     return map_rows(docs.select("text"), INCIDENCE, start)
 
 
+SHARED = "flush bigint, grams binary, at binary, counts binary"
+
+
 def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
-    """Incidences of the n-grams that several nodes have, with their counts, packed by node: block
-    ``node % blocks`` of the result."""
-    schema = arrow_schema(rows.sparkSession, INCIDENCE)
+    """Incidences of the n-grams that several sets have, with their counts, by flush."""
+    schema = arrow_schema(rows.sparkSession, SHARED)
 
     def count(table: pa.Table) -> pa.Table:
         tidy()
-        block = table["block"][0].as_py()
-        grams, node, known = [], [], []
-        for nodes, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "grams", "at"))):
-            at = from_planes(at, "<u2")
-            place = np.where(at == KNOWN, 0, at)
-            grams.append(from_planes(packed, "<u8"))
-            known.append(at == KNOWN)
-            node.append(np.r_[np.frombuffer(nodes, "<i8"), 0][place])
-        grams, node, known = map(np.concatenate, (grams, node, known))
-        order = np.lexsort((node, grams))
-        grams, node, known = grams[order], node[order], known[order]
-        seen = np.full(len(grams), HOT)
-        keep = ~known
-        if block < blocks:
-            keep[1:] &= (grams[1:] != grams[:-1]) | (node[1:] != node[:-1]) | known[:-1]
-            first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
-            run = np.diff(np.r_[first, len(grams)])
-            count = np.minimum(np.add.reduceat(keep.astype(np.int64), first), HOT)
-            count[np.logical_or.reduceat(known, first)] = HOT
-            seen = np.repeat(count, run)
-            keep &= seen > 1
-        grams = (seen[keep].astype(np.uint64) << np.uint64(56)) | (grams[keep] >> np.uint64(8))
-        node = node[keep]
+        grams = [from_sorted(x) for x in table["grams"].to_pylist()]
+        at = [from_planes(x, "<u2") for x in table["at"].to_pylist()]
+        ends = np.cumsum([len(x) for x in grams])
+        known = np.concatenate(at) == KNOWN
+        seen = np.full(ends[-1], HOT, np.uint8)
+        if table["block"][0].as_py() < blocks:
+            every = np.concatenate(grams)
+            order = np.argsort(every, kind="stable")
+            every = every[order]
+            first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+            run = np.diff(np.r_[first, len(every)])
+            counts = np.minimum(run, HOT)
+            counts[np.logical_or.reduceat(known[order], first)] = HOT
+            seen[order] = np.repeat(counts, run)
+        else:
+            known[:] = False
         out = {name: [] for name in schema.names}
-        home = node % blocks
-        order = np.argsort(home, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else []:
-            used, places = np.unique(node[part], return_inverse=True)
-            out["block"].append(int(home[part[0]]))
-            out["nodes"].append(used.tobytes())
-            out["grams"].append(planes(grams[part]))
-            out["at"].append(planes(places.astype(np.uint32)))
+        for name, own, place, high in zip(table["flush"].to_pylist(), grams, at, ends):
+            part = slice(high - len(own), high)
+            keep = (seen[part] > 1) & ~known[part]
+            if keep.any():
+                out["flush"].append(name)
+                out["grams"].append(pack_sorted(own[keep]))
+                out["at"].append(planes(place[keep]))
+                out["counts"].append(planes(seen[part][keep]))
         return pa.table(out, schema=schema)
 
-    return rows.groupBy("block").applyInArrow(count, INCIDENCE)
+    return (rows.filter("block IS NOT NULL").select("block", "flush", "grams", "at")
+            .groupBy("block").applyInArrow(count, SHARED))
 
 
 NEAR = "node bigint, n bigint, grams array<bigint>"
 
 
-def gathered(shared: DataFrame, nodes: DataFrame, blocks: int, threshold: int) -> DataFrame:
-    """Nodes with ``threshold`` percent of their n-grams shared: node, n, those n-grams, sorted."""
+def gathered(shared: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
+    """Nodes with ``threshold`` percent of their n-grams shared: node, n, those n-grams, sorted. A node of
+    several flushes comes from the one of the smallest name."""
     schema = arrow_schema(shared.sparkSession, NEAR)
+    members = rows.filter("block IS NULL").select("flush", F.posexplode(F.arrays_zip("nodes", "sizes"))).select(
+        "flush", F.col("pos").alias("place"), F.col("col.nodes").alias("node"), F.col("col.sizes").alias("n"))
+    copies = members.groupBy("node").agg(F.count("*").alias("copies"), F.min("flush").alias("chosen"))
+    members = members.join(copies, "node").select(
+        "flush", "place", "node", "n", "copies", (F.col("flush") == F.col("chosen")).alias("chosen"))
 
     def gather(table: pa.Table, known: pa.Table) -> pa.Table:
         tidy()
         if not table.num_rows:
             return schema.empty_table()
-        grams, node = [], []
-        for own, packed, at in zip(*(table[c].to_pylist() for c in ("nodes", "grams", "at"))):
-            grams.append(from_planes(packed, "<u8"))
-            node.append(np.frombuffer(own, "<i8")[from_planes(at, "<u4")])
-        grams, node = np.concatenate(grams), np.concatenate(node)
-        order = np.lexsort((grams, node))
-        grams, node = grams[order], node[order]
-        all_nodes, all_sizes = known["node"].to_numpy(), known["n"].to_numpy()
-        by_node = np.argsort(all_nodes)
-        one = np.r_[True, (grams[1:] != grams[:-1]) | (node[1:] != node[:-1])]
-        grams, node = grams[one], node[one]
-        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        run = np.diff(np.r_[first, len(node)])
-        size = all_sizes[by_node[np.searchsorted(all_nodes, node[first], sorter=by_node)]]
-        near = run * 100 >= size * threshold
+        known = known.take(np.argsort(known["place"].to_numpy()))
+        node, n, copies = (known[c].to_numpy() for c in ("node", "n", "copies"))
+        chosen = known["chosen"].to_numpy()
+        grams, at, counts = (np.concatenate([unpack(x) for x in table[c].to_pylist()]) for c, unpack in (
+            ("grams", from_sorted), ("at", lambda x: from_planes(x, "<u2")),
+            ("counts", lambda x: from_planes(x, "u1"))))
+        keep = chosen[at] & ((counts > copies[at]) | (counts == HOT))
+        at = at[keep]
+        grams = (counts[keep].astype(np.uint64) << np.uint64(56)) | grams[keep]
+        order = np.lexsort((grams, at))
+        grams, at = grams[order], at[order]
+        one = np.r_[True, (grams[1:] != grams[:-1]) | (at[1:] != at[:-1])][:len(at)]
+        grams, at = grams[one], at[one]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][:len(at)])
+        run = np.diff(np.r_[first, len(at)])
+        place = at[first]
+        near = run * 100 >= n[place] * threshold
         offsets = np.r_[0, np.cumsum(run[near])].astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams[np.repeat(near, run)].view(np.int64)))
-        return pa.Table.from_arrays([pa.array(node[first][near]), pa.array(size[near]), lists],
+        return pa.Table.from_arrays([pa.array(node[place][near]), pa.array(n[place][near]), lists],
                                     names=schema.names).cast(schema)
 
-    sizes_of = nodes.select(F.pmod("node", F.lit(blocks)).alias("block"), "node", "n")
-    return (shared.groupBy("block").cogroup(sizes_of.groupBy("block"))
+    return (shared.groupBy("flush").cogroup(members.groupBy("flush"))
             .applyInArrow(gather, NEAR))
 
 
@@ -298,11 +314,11 @@ def products(rows: DataFrame, unit: list[str], threshold: int) -> DataFrame:
     return rows.groupBy(*unit).applyInArrow(multiply, LINKS)
 
 
-def near_copies(docs: DataFrame, nodes: DataFrame, total: int, words: int, threshold: int) -> DataFrame:
+def near_copies(docs: DataFrame, total: int, words: int, threshold: int) -> DataFrame:
     """Nodes that may have a partner: node, n, their shared n-grams."""
     blocks = max(1, math.ceil(total / BLOCK_GRAMS))
-    shared = shared_grams(incidence(docs, blocks, words), blocks)
-    return written(gathered(shared, nodes, blocks, threshold), "near-copies")
+    rows = written(incidence(docs, blocks, words), "incidence")
+    return written(gathered(shared_grams(rows, blocks), rows, threshold), "near-copies")
 
 
 def groups_of(near: DataFrame, threshold: int) -> DataFrame:
@@ -354,9 +370,9 @@ def placed_nodes(docs: DataFrame, words: int, threshold: int) -> tuple[DataFrame
     texts = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))
     meta = written(sizes(texts, words), "sizes")
     nodes = meta.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc"), F.max("n").alias("n"))
+        F.min("doc_id").alias("doc"))
     total = meta.agg(F.sum("n")).first()[0] or 0
-    found = components(links_of(near_copies(texts, nodes, total, words, threshold), threshold))
+    found = components(links_of(near_copies(texts, total, words, threshold), threshold))
     return meta, (nodes.join(found, "node", "left")
                   .select("node", "doc", F.coalesce("component", "node").alias("component")))
 

@@ -61,6 +61,26 @@ def test_against_brute_force(spark, monkeypatch, small):
     assert len({c for *_, c in got}) < len(got) - 100
 
 
+def test_common_passages_and_copies_across_tasks(spark):
+    """N-grams of over 127 texts, of over 16 in one task, and copies in every task beside near copies of them."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    passage, hot, lone = (rng.choices(words, k=k) for k in (40, 120, 50))
+    texts = [" ".join(passage + rng.choices(words, k=rng.randint(5, 90))) for _ in range(170)]
+    for i in range(60):
+        changed = list(hot)
+        changed[rng.randrange(120)] = rng.choice(words)
+        texts += [" ".join(hot), " ".join(changed), " ".join(lone)]
+    docs = frame(spark, texts).repartition(4)
+    assert sorted(map(tuple, jj.jaccard_components(docs).collect())) == brute(texts)
+
+
+def test_sorted_values_survive_packing():
+    for values in ([], [0], [5, 5, 7], [0, (1 << 56) - 1]):
+        array = np.array(values, np.uint64)
+        assert jj.from_sorted(jj.pack_sorted(array)).tolist() == values
+
+
 def test_repeated_and_null_ids_and_no_rows(spark):
     text = "one two three four five six"
     docs = frame(spark, [text, text, "other words", text, None, " "], [5, 5, 5, None, None, 3])
