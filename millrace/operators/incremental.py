@@ -52,6 +52,21 @@ def late_rows(source: DataFrame, target: DataFrame, keys: tuple[str, ...] = ("or
     return rows_absent_from(seen, held)
 
 
+def late_rows_of(batch: DataFrame, target: DataFrame, watermark: date | None = None,
+                 keys: tuple[str, ...] = ("order_id",), source_date: str = "utc_date",
+                 target_date: str = "date") -> DataFrame:
+    """``late_rows`` of a newly delivered batch, reading only the target's days that the batch touches.
+
+    The batch's days prune the target's folders at run time; they are broadcast, as a batch has at most
+    one per calendar day. Without a ``watermark`` from the run state it is the target's own.
+    """
+    mark = high_watermark(target, target_date).scalar() if watermark is None else F.lit(watermark)
+    seen = batch.filter(F.col(source_date) <= mark).select(*keys, source_date)
+    held = target.select(*keys, F.col(target_date).alias(source_date))
+    days = seen.select(source_date).distinct()
+    return rows_absent_from(seen, held.join(F.broadcast(days), source_date, "left_semi"))
+
+
 def ingest_range(target: DataFrame, as_of: date, column: str = "date") -> DataFrame:
     """The next range to fetch, ``[watermark + 1, as_of - 1]``, and its first year.
 

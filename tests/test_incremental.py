@@ -2,7 +2,7 @@ import pytest
 
 from helpers import bag, day, plan_of, tuples
 from millrace.operators.incremental import (
-    after_watermark, date_bounds, high_watermark, ingest_range, late_rows, within_dates,
+    after_watermark, date_bounds, high_watermark, ingest_range, late_rows, late_rows_of, within_dates,
 )
 
 DAYS = ["2024-01-01", "2024-01-02", "2024-01-03"]
@@ -60,6 +60,23 @@ def test_late_rows_are_those_the_filter_never_loads(spark):
         [("late", day(DAYS[0])), (None, day(DAYS[1]))], key=repr)
 
 
+def test_late_rows_of_a_batch_read_the_days_it_touches(spark, tmp_path):
+    path = str(tmp_path / "held")
+    (target(spark, [("a", DAYS[0]), ("b", DAYS[1]), (None, DAYS[1]), ("c", DAYS[2])])
+     .write.partitionBy("date").parquet(path))
+    held = spark.read.parquet(path)
+    batch = source(spark, [("b", DAYS[1]), ("late", DAYS[1]), ("late", DAYS[1]), (None, DAYS[1]),
+                           ("x", None), ("new", "2024-01-09")])
+    for watermark in (None, day(DAYS[2])):
+        late = late_rows_of(batch, held, watermark)
+        assert bag(late) == [("late", day(DAYS[1]))]
+        assert "dynamicpruning" in plan_of(late)
+        assert bag(late) == bag(late_rows(batch, held))
+    assert bag(late_rows_of(batch, held, day("2023-12-31"))) == []
+    assert bag(late_rows_of(batch, target(spark, []))) == []
+    assert bag(late_rows_of(source(spark, []), held)) == []
+
+
 def test_watermark_prunes_folders(spark, orders, tmp_path):
     path = str(tmp_path / "t")
     orders.filter("utc_date is not null").write.partitionBy("utc_date").parquet(path)

@@ -256,6 +256,12 @@ def oracles() -> dict[str, str]:
             select="select order_id, utc_date from transactions "
                    "where utc_date <= (select max(date) from silver_target) "
                    "except select order_id, date from silver_target"),
+        "late_rows_of_batch": sql(
+            TRANSACTIONS, SILVER_TARGET,
+            select="select distinct order_id, utc_date from transactions t "
+                   "where utc_date <= (select max(date) from silver_target) "
+                   "and not exists (select 1 from silver_target s "
+                   "where s.date = t.utc_date and s.order_id = t.order_id)"),
         "high_watermark": sql(TRANSACTIONS, select="select max(utc_date) as max_date from transactions"),
         "ingest_range": sql(
             TRANSACTIONS,

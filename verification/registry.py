@@ -78,6 +78,11 @@ def late_rows(spark, sf_dir):
     return incremental.late_rows(sc.transactions(spark, sf_dir), sc.silver_target(spark, sf_dir))
 
 
+@register
+def late_rows_of_batch(spark, sf_dir):
+    return incremental.late_rows_of(sc.transactions(spark, sf_dir), sc.silver_target(spark, sf_dir))
+
+
 @register
 def high_watermark(spark, sf_dir):
     return incremental.high_watermark(sc.transactions(spark, sf_dir), "utc_date")
