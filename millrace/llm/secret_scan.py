@@ -22,7 +22,8 @@ KINDS = ("assign", "access", "hex", "random")
 
 # The alphabets a string may be encoded in, the narrowest that holds it is taken.
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-ALPHABETS = [DIGITS + "ABCDEF", UPPER + "234567", DIGITS + LOWER, DIGITS + UPPER,
+HEX_UPPER, HEX_MIXED = DIGITS + "ABCDEF", DIGITS + "abcdefABCDEF"
+ALPHABETS = [HEX_UPPER, HEX_MIXED, LOWER, UPPER, UPPER + "234567", DIGITS + LOWER, DIGITS + UPPER,
              UPPER + LOWER + DIGITS + "+/", UPPER + LOWER + DIGITS + "-_"]
 # Letters of European prose, percent.
 LETTER_SHARE = dict(zip(LOWER, (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4,
@@ -36,8 +37,9 @@ HEX_LETTERS = sum(LETTER_SHARE[c] for c in "abcdef") / sum(LETTER_SHARE.values()
 #: Changes between letters and digits, per pair of neighbours, in names that are made of words and numbers.
 CHANGE_SHARE = 0.1
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-UNIFORM_P = 1e-3
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Share of random strings among those dropped as regular, and of words and names among those found.
+FALSE_REGULAR = 1e-3
 FALSE_DISCOVERIES = 1e-2
 
 FOUND = ("doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, "
@@ -58,22 +60,28 @@ def chi2_tail(x: float, df: float) -> float:
 
 
 def inferred_alphabet(text: str) -> str | None:
-    """The first alphabet that holds the string; strings of one class of characters have none."""
-    classes = (any(c in LOWER for c in text), any(c in UPPER for c in text),
-               any(c in DIGITS for c in text))
-    if sum(classes) < 2:
-        return None
+    """The first alphabet that holds the string. Letters of one case with signs between them (paths, names with
+    hyphens) have none, nor have digits alone (from 16 on they are base spans)."""
     body = set(text.rstrip("="))
-    return next((a for a in ALPHABETS if body <= set(a)), None)
+    classes = sum(any(c in body for c in kind) for kind in (LOWER, UPPER, DIGITS))
+    if body <= set(DIGITS):
+        return None
+    found = next((a for a in ALPHABETS if body <= set(a)), None)
+    return found if classes > 1 or found in (HEX_UPPER, HEX_MIXED, LOWER, UPPER) else None
+
 
+def battery(text: str, alphabet: str) -> float:
+    """p that a uniformly random string over the alphabet is as irregular: alphabet uniformity (chi-squared), runs
+    above and below the alphabet's middle, and serial correlation at lag 1, combined by Fisher's method. Hexadecimal
+    of both cases may be random over 16 values or over 22 characters; the better of the two counts."""
+    body = text.rstrip("=")
+    if alphabet == HEX_MIXED:
+        return max(uniform_p(body, HEX_MIXED), uniform_p(body.upper(), HEX_UPPER))
+    return uniform_p(body, alphabet)
 
-def battery(text: str, alphabet: str) -> tuple[float, float]:
-    """(p that a uniformly random string is as irregular, p that words and numbers are as even).
 
-    First: alphabet uniformity (chi-squared), runs above and below the alphabet's middle, and serial
-    correlation at lag 1, combined by Fisher's method. Second: p_prose.
-    """
-    x = np.array([alphabet.index(c) for c in text.rstrip("=")], np.float64)
+def uniform_p(body: str, alphabet: str) -> float:
+    x = np.array([alphabet.index(c) for c in body], np.float64)
     n, size = len(x), len(alphabet)
     counts = np.bincount(x.astype(int), minlength=size)
     chi2 = float(((counts - n / size) ** 2).sum() * size / n)
@@ -94,8 +102,7 @@ def battery(text: str, alphabet: str) -> tuple[float, float]:
     p_serial = 2 * normal_tail(abs(lag) * math.sqrt(n))
     fisher = -2 * sum(math.log(max(p, 1e-300)) for p in (p_uniform, p_runs, p_serial))
     half = fisher / 2  # six degrees of freedom
-    p_random = math.exp(-half) * (1 + half + half * half / 2)
-    return p_random, p_prose(text, alphabet)
+    return math.exp(-half) * (1 + half + half * half / 2)
 
 
 def p_prose(text: str, alphabet: str) -> float:
@@ -103,7 +110,7 @@ def p_prose(text: str, alphabet: str) -> float:
     hexadecimal: that all their letters are A to F), and that letters and digits change so often."""
     body = text.rstrip("=")
     letters = [c for c in body.lower() if c in LETTER_SIGN]
-    if alphabet is ALPHABETS[0]:
+    if alphabet in (HEX_UPPER, HEX_MIXED):
         p_letters = HEX_LETTERS ** len(letters)
     elif letters:
         z = (sum(map(LETTER_SIGN.__getitem__, letters)) - len(letters) * SIGN_MEAN) / math.sqrt(
@@ -119,19 +126,33 @@ def p_prose(text: str, alphabet: str) -> float:
     return math.exp(-half) * (1 + half)
 
 
+def rejected(ps: list[float], weights: list[float], share: float) -> list[bool]:
+    """Hypotheses rejected at a bounded share of false rejections: Benjamini-Hochberg over p divided by weight,
+    the weights scaled to a mean of one."""
+    mean = sum(weights) / len(weights) if weights else 1.0
+    weighted = [p * mean / w for p, w in zip(ps, weights)]
+    bound = max((p for i, p in enumerate(sorted(weighted), 1) if p <= share * i / len(ps)), default=-1.0)
+    return [p <= bound for p in weighted]
+
+
 def random_spans(text: str, taken: list[Span]) -> list[Span]:
-    """Strings that pass for random, at a bounded share of false discoveries among those tested
-    in the text (Benjamini-Hochberg over the p of prose); base spans are left out."""
-    tested = []
+    """Strings that are neither words nor regular, each told at a bounded share of errors among those of the
+    text; long strings, which the tests tell best, weigh more by their length. Strings that base spans cover for
+    half or more are left out."""
+    tested, near, at = [], [], 0
     for match in CANDIDATE.finditer(text):
+        while at < len(taken) and taken[at][0] < match.end():
+            near.append(taken[at])
+            at += 1
+        near = [span for span in near if span[2] > match.start()]
         alphabet = inferred_alphabet(match[0])
-        if alphabet and not any(s < match.end() and match.start() < e for s, _, e in taken):
-            p_random, p_prose = battery(match[0], alphabet)
-            tested.append((p_prose, p_random, match.start(), match.end()))
-    tested.sort()
-    passed = max((i for i, t in enumerate(tested, 1)
-                  if t[0] <= FALSE_DISCOVERIES * i / len(tested)), default=0)
-    return [(s, 3, e) for _, p_random, s, e in tested[:passed] if p_random >= UNIFORM_P]
+        covered = max((min(e, match.end()) - max(s, match.start()) for s, _, e in near), default=0)
+        if alphabet and 2 * covered < len(match[0]):
+            tested.append((match, alphabet))
+    found = rejected([p_prose(m[0], a) for m, a in tested], [len(m[0]) for m, _ in tested], FALSE_DISCOVERIES)
+    tested = [t for t, is_found in zip(tested, found) if is_found]
+    regular = rejected([battery(m[0], a) for m, a in tested], [len(m[0]) for m, _ in tested], FALSE_REGULAR)
+    return [(m.start(), 3, m.end()) for (m, _), is_regular in zip(tested, regular) if not is_regular]
 
 
 def base_spans(text: str) -> list[Span]:
