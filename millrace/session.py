@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Not Spark's defaults, and needed wherever the operators run: an aggregation after a join on
 # the same key must not keep AQE from splitting a hot key's partition of that join.
@@ -13,10 +15,23 @@ SKEW_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# What one task may take in, in bytes of shuffled rows and of files. Rows take 13 to 40 times their shuffled size in
+# a task's sorts and hash tables, and AQE merges shuffle partitions up to this size: below Spark's own 64 MB the
+# memory of a task grew with the input (late rows of 24 times sf0.1: 854 MB).
+TASK_SETTINGS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(8 << 20),
+    "spark.sql.files.maxPartitionBytes": str(32 << 20),
+}
+
+# Bytes of input files for each partition a shuffle starts with, and partitions beyond which ``scale_settings`` rules.
+INPUT_SHARE = 4 << 20
+MOST_PARTITIONS = 20_000
+
 # UTC because epoch columns are named *_utc_* / *_gmt_*; AQE because hot keys and hot days
 # are split at run time (skew join for joins, rebalance for partitioned writes).
 BASE_SETTINGS = {
     **SKEW_SETTINGS,
+    **TASK_SETTINGS,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -47,6 +62,33 @@ def require_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def byte_size(text: str) -> int:
+    """A size as Spark's settings have it: ``64MB``, ``8m`` or plain bytes."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", text.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files below a folder, from their listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+
+
+def bound_tasks(spark: SparkSession, folder: str) -> SparkSession:
+    """Keep a task's share of a job over the tables in ``folder`` from growing with them, on a session built elsewhere.
+
+    Larger sizes of ``TASK_SETTINGS`` are lowered. Shuffles start with partitions in proportion to the input, which AQE
+    merges, so that the advisory size is what decides.
+    """
+    for key, value in TASK_SETTINGS.items():
+        if byte_size(spark.conf.get(key)) > int(value):
+            spark.conf.set(key, value)
+    share = min(MOST_PARTITIONS, math.ceil(input_bytes(spark, folder) / INPUT_SHARE))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                   str(max(share, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    return spark
+
+
 def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Shuffle settings for an input of ``input_bytes`` on ``cores`` executor cores.
 
