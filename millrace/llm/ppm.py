@@ -34,6 +34,7 @@ PAD = b"\xff"  # in no UTF-8
 VOCABULARY = "word binary, n bigint"
 BLOCKS = "block bigint, doc_id array<bigint>, held_out array<boolean>, start array<bigint>, data binary, bytes bigint"
 PIECE = 1 << 20  # places of a block that are looked up at once
+RANGES = 8  # of values, in each of which the places of a block's grams are found at once
 PART_BYTES = 16 << 20  # text whose grams meet in a part, about; blocks meet it in groups where there are MAX_PARTS
 MAX_PARTS = 4096
 MIX = 1_500_450_271  # a fixed odd number; times 32 bits it stays within 63
@@ -125,16 +126,62 @@ def stream_bytes(batch, i: int) -> bytes:
 def place_grams(data: bytes, starts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """(gram of every coded byte, how many each text has). The first blank is given, not coded."""
     x = np.frombuffer(data, np.uint8)
-    grams = np.zeros(len(x) - order, np.int64)
-    for k in range(order + 1):
-        grams <<= 8
-        grams |= x[k:len(x) - order + k]
     sizes = np.diff(starts, append=len(x)) - order - 1
-    coded = np.ones(len(grams), bool)  # gram i codes byte i + order
+    coded = np.ones(len(x) - order, bool)  # gram i codes byte i + order
     for k in range(order + 1):
         at = starts + k - order
         coded[at[at >= 0]] = False
-    return grams[coded], sizes
+    grams, done = np.empty(np.count_nonzero(coded), np.int64), 0
+    for a in range(0, len(coded), PIECE):
+        own = coded[a:a + PIECE]
+        piece = np.zeros(len(own), np.int64)
+        for k in range(order + 1):
+            piece <<= 8
+            piece |= x[a + k:a + k + len(own)]
+        piece = piece[own]
+        grams[done:done + len(piece)] = piece
+        done += len(piece)
+    return grams, sizes
+
+
+def sorted_counts(grams: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct grams in order, how often each is at a place of ``train``). ``grams`` are overwritten: sorting them in
+    place, with the mark as their last bit, needs no second array of their size."""
+    grams <<= 1
+    grams |= train
+    grams.sort()
+    new = np.ones(len(grams), bool)
+    for a in range(0, len(grams), PIECE):
+        piece = grams[a:a + PIECE + 1]
+        new[a + 1:a + PIECE + 1] = (piece[1:] ^ piece[:-1]) > 1
+    first = np.flatnonzero(new)
+    n = np.zeros(len(first), np.int64)
+    for a in range(0, len(grams), PIECE):
+        marked = np.concatenate(([0], np.cumsum(grams[a:a + PIECE] & 1)))
+        low, high = np.searchsorted(first, [a, a + len(marked) - 1])
+        sums = np.diff(marked[np.concatenate(([0], first[low:high] - a, [len(marked) - 1]))])
+        if low:  # what is left of the last piece's last gram
+            n[low - 1] += sums[0]
+        n[low:high] += sums[1:]
+    return grams[first] >> 1, n
+
+
+def sorted_places(grams: np.ndarray, ranges: int = RANGES) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each gram among the distinct ones, those in order), one range of values at a time: the tables that
+    find places are a range's, not a block's."""
+    sample = np.sort(grams[::max(1, len(grams) // 4096)])
+    cuts = np.unique(sample[np.linspace(0, len(sample), ranges, endpoint=False, dtype=int)[1:]]) if len(sample) else sample
+    of, places, distinct = np.empty(len(grams), np.uint8), np.empty(len(grams), np.int32), []
+    for a in range(0, len(grams), PIECE):
+        of[a:a + PIECE] = np.searchsorted(cuts, grams[a:a + PIECE], side="right")
+    before = 0
+    for k in range(len(cuts) + 1):
+        own = np.flatnonzero(of == k)
+        codes, found = pd.factorize(grams[own], sort=True)
+        places[own] = codes + before
+        before += len(found)
+        distinct.append(found)
+    return places, np.concatenate(distinct)
 
 
 def part_of(gram, parts: int):
@@ -158,17 +205,13 @@ def block_grams(blocks: DataFrame, order: int, parts: int) -> DataFrame:
         def step(batch):
             for i in range(batch.num_rows if batch is not None else 0):
                 grams, sizes = place_grams(stream_bytes(batch, i), np.array(batch["start"][i].as_py()), order)
-                codes, distinct = pd.factorize(grams, sort=True)
+                distinct, n = sorted_counts(grams, np.repeat(~np.array(batch["held_out"][i].as_py(), bool), sizes))
                 del grams
-                train = np.repeat(~np.array(batch["held_out"][i].as_py(), bool), sizes)
-                n = np.zeros(len(distinct), np.int64)
-                for a in range(0, len(codes), PIECE):
-                    n += np.bincount(codes[a:a + PIECE][train[a:a + PIECE]], minlength=len(distinct))
                 rows = packed_by_part(distinct, parts)
                 yield {"part": [int(part_of(distinct[x[:1]], parts)[0]) for x in rows],
                        "block": [batch["block"][i].as_py()] * len(rows),
                        "grams": [planes(np.diff(distinct[x], prepend=0)) for x in rows],
-                       "n": [planes(n[x].astype(np.int64)) for x in rows]}
+                       "n": [planes(n[x]) for x in rows]}
         return step
     return map_rows(blocks, GRAMS, start)
 
@@ -272,7 +315,7 @@ def block_scores(blocks: DataFrame, codes: DataFrame, order: int, parts: int) ->
             for i in range(batch.num_rows if batch is not None else 0):
                 starts = np.array(batch["start"][i].as_py())
                 grams, sizes = place_grams(stream_bytes(batch, i), starts, order)
-                places, distinct = pd.factorize(grams, sort=True)
+                places, distinct = sorted_places(grams)
                 del grams
                 packed = {x["part"]: x["codes"] for x in batch["codes"][i].as_py()}
                 code = np.empty(len(distinct))

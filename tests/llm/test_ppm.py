@@ -1,8 +1,11 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
 import plain_ppm
+import pytest
 from cases import awkward_texts, frame
 
 from millrace.llm import ppm
@@ -108,3 +111,31 @@ def test_order_of_words_matters(spark):
     texts = ["of the word and the end of it"] * 9 + ["of the word", "the of word", "word the of"]
     got = sorted(ppm.score_documents(frame(spark, texts)).collect())[-3:]
     assert got[0].score > max(got[1].score, got[2].score) and len({round(r.base_score, 9) for r in got}) == 1
+
+
+@pytest.mark.parametrize("piece", [1, 3, 64, 1 << 20])
+def test_counts_and_places_by_pieces_are_those_of_the_whole(monkeypatch, piece):
+    monkeypatch.setattr(ppm, "PIECE", piece)
+    rng = np.random.default_rng(3)
+    for size, kinds in ((0, 1), (1, 1), (200, 1), (300, 7), (500, 400)):
+        grams = rng.integers(0, kinds, size) * 0xFFFF_FFFF_FF  # up to seven bytes
+        train = rng.random(size) < 0.6
+        distinct, inverse = np.unique(grams, return_inverse=True)
+        got, n = ppm.sorted_counts(grams.copy(), train)
+        assert got.tolist() == distinct.tolist()
+        assert n.tolist() == np.bincount(inverse[train], minlength=len(distinct)).tolist()
+        places, found = ppm.sorted_places(grams)
+        assert found.tolist() == distinct.tolist() and places.tolist() == inverse.tolist()
+
+
+def test_arrays_of_a_block_stay_below_two_of_its_grams(monkeypatch):
+    """A block's grams are one array of 8 bytes a place; counting them needs little beside it."""
+    monkeypatch.setattr(ppm, "PIECE", 1 << 16)
+    data = np.random.default_rng(5).integers(97, 107, 4 << 20).astype(np.uint8).tobytes()
+    starts = np.arange(0, len(data), 1 << 16)
+    tracemalloc.start()
+    grams, sizes = ppm.place_grams(data, starts, ppm.ORDER)
+    ppm.sorted_counts(grams, np.ones(len(grams), bool))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes.sum() == len(grams) and peak < 2 * 8 * len(data)
