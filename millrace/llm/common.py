@@ -75,9 +75,9 @@ def tidy() -> None:
 BATCH_BYTES = 1 << 24
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Batches for Python workers end by bytes, not only by rows, so long texts don't add up."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
 def whole_text(column: str = "text") -> "F.Column":

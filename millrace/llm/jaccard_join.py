@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ LOCAL_HOT, HOT = 16, 127  # nodes of an n-gram: in one flush, to bypass its bloc
 COLUMNS = 2048
 KNOWN = np.uint16(65535)
 MEMO_WORDS = 150_000
+TEXT_BYTES = 4 << 20      # rows for a worker at once
 # Fixed odd multipliers, one per word of a shingle and one for the number of words.
 MULTIPLIERS = np.random.default_rng(20).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -117,6 +119,43 @@ def from_sorted(data: bytes) -> np.ndarray:
 INCIDENCE = "block bigint, flush bigint, grams binary, at binary, nodes array<bigint>, sizes array<bigint>"
 
 
+def flush_rows(name: int, sets: list[tuple[int, np.ndarray]], blocks: int) -> Iterator[dict]:
+    """Rows of a flush of sets (node, n-grams). ``sets`` is emptied, and what is no longer needed is dropped before
+    the next step: a worker holds about three times the n-grams at most."""
+    sizes = [len(x) for _, x in sets]
+    yield {"block": [None], "flush": [name], "grams": [None], "at": [None],
+           "nodes": [[node for node, _ in sets]], "sizes": [sizes]}
+    grams = np.concatenate([x for _, x in sets])
+    sets.clear()
+    grams >>= np.uint64(8)
+    at = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+    order = np.argsort(grams)
+    grams, at = grams[order], at[order]
+    del order
+    same = grams[LOCAL_HOT:] == grams[:-LOCAL_HOT]
+    if same.any():
+        common = np.zeros(len(grams), bool)
+        for k in range(LOCAL_HOT + 1):
+            common[k:k + len(same)] |= same
+        yield incidence_row(blocks + name % blocks, name, grams[common], at[common])
+        at[common] = KNOWN
+        told = ~common
+        told[0] |= common[0]
+        told[1:] |= common[1:] & (grams[1:] != grams[:-1])
+        grams, at = grams[told], at[told]
+    # Blocks are ranges of the hash: ascending here, and what a block holds differs little.
+    lows = (np.arange(blocks, dtype=np.uint64) << np.uint64(32)) + np.uint64(blocks - 1)
+    cuts = np.searchsorted(grams, (lows // np.uint64(blocks)) << np.uint64(24)).tolist()
+    for block, (low, high) in enumerate(zip(cuts, [*cuts[1:], len(grams)])):
+        if low < high:
+            yield incidence_row(block, name, grams[low:high], at[low:high])
+
+
+def incidence_row(block: int, name: int, grams: np.ndarray, at: np.ndarray) -> dict:
+    return {"block": [block], "flush": [name], "grams": [pack_sorted(grams)], "at": [planes(at)],
+            "nodes": [None], "sizes": [None]}
+
+
 def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
     """Rows of the column blocks. What a task sends for one n-gram is bounded: of an n-gram that is very
     common in the flush its block hears once, and its places go to a block ``blocks + flush % blocks``.
@@ -125,33 +164,10 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
         sets, held, seen = [], 0, set()
 
         def flush():
-            nonlocal sets, held, seen
-            name = int.from_bytes(os.urandom(8), "little") >> 1
-            sizes = [len(x) for _, x in sets]
-            yield {"block": [None], "flush": [name], "grams": [None], "at": [None],
-                   "nodes": [[node for node, _ in sets]], "sizes": [sizes]}
-            grams = np.concatenate([x for _, x in sets]) >> np.uint64(8)
-            at = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
-            sets, held, seen = [], 0, set()
-            order = np.argsort(grams)
-            grams, at = grams[order], at[order]
-            first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
-            count = np.diff(np.r_[first, len(grams)])
-            common = np.repeat(count > LOCAL_HOT, count)
-            told = ~common
-            told[first] = True
-            if common.any():
-                yield row(blocks + name % blocks, name, grams[common], at[common])
-            grams, at = grams[told], np.where(common, KNOWN, at)[told]
-            # Blocks are ranges of the hash: ascending here, and what a block holds differs little.
-            block = ((grams >> np.uint64(24)) * np.uint64(blocks)) >> np.uint64(32)
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            for low, high in zip(cuts, np.r_[cuts[1:], len(block)]):
-                yield row(int(block[low]), name, grams[low:high], at[low:high])
-
-        def row(block, name, grams, at):
-            return {"block": [block], "flush": [name], "grams": [pack_sorted(grams)], "at": [planes(at)],
-                    "nodes": [None], "sizes": [None]}
+            nonlocal held
+            held = 0
+            seen.clear()
+            return flush_rows(int.from_bytes(os.urandom(8), "little") >> 1, sets, blocks)
 
         def step(batch):
             nonlocal held
@@ -174,30 +190,38 @@ def incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
 SHARED = "flush bigint, grams binary, at binary, counts binary"
 
 
+def set_counts(grams: list[np.ndarray], known: np.ndarray) -> np.ndarray:
+    """Of every n-gram of a block in how many sets it lies, up to ``HOT``; ``known`` ones are ``HOT``."""
+    every = np.concatenate(grams)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]).astype(np.int32)
+    del every
+    run = np.diff(first, append=np.int32(len(order)))
+    counts = np.minimum(run, HOT).astype(np.uint8)
+    counts[np.logical_or.reduceat(known[order], first)] = HOT
+    seen = np.empty(len(order), np.uint8)
+    seen[order] = np.repeat(counts, run)
+    return seen
+
+
 def shared_grams(rows: DataFrame, blocks: int) -> DataFrame:
     """Incidences of the n-grams that several sets have, with their counts, by flush."""
     schema = arrow_schema(rows.sparkSession, SHARED)
 
     def count(table: pa.Table) -> pa.Table:
         tidy()
+        names, plain = table["flush"].to_pylist(), table["block"][0].as_py() < blocks
         grams = [from_sorted(x) for x in table["grams"].to_pylist()]
         at = [from_planes(x, "<u2") for x in table["at"].to_pylist()]
         ends = np.cumsum([len(x) for x in grams])
-        known = np.concatenate(at) == KNOWN
-        seen = np.full(ends[-1], HOT, np.uint8)
-        if table["block"][0].as_py() < blocks:
-            every = np.concatenate(grams)
-            order = np.argsort(every, kind="stable")
-            every = every[order]
-            first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
-            run = np.diff(np.r_[first, len(every)])
-            counts = np.minimum(run, HOT)
-            counts[np.logical_or.reduceat(known[order], first)] = HOT
-            seen[order] = np.repeat(counts, run)
+        if plain:
+            known = np.concatenate([x == KNOWN for x in at])
+            seen = set_counts(grams, known)
         else:
-            known[:] = False
+            known, seen = np.zeros(ends[-1], bool), np.full(ends[-1], HOT, np.uint8)
         out = {name: [] for name in schema.names}
-        for name, own, place, high in zip(table["flush"].to_pylist(), grams, at, ends):
+        for name, own, place, high in zip(names, grams, at, ends):
             part = slice(high - len(own), high)
             keep = (seen[part] > 1) & ~known[part]
             if keep.any():
@@ -231,14 +255,18 @@ def gathered(shared: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
         known = known.take(np.argsort(known["place"].to_numpy()))
         node, n, copies = (known[c].to_numpy() for c in ("node", "n", "copies"))
         chosen = known["chosen"].to_numpy()
-        grams, at, counts = (np.concatenate([unpack(x) for x in table[c].to_pylist()]) for c, unpack in (
-            ("grams", from_sorted), ("at", lambda x: from_planes(x, "<u2")),
-            ("counts", lambda x: from_planes(x, "u1"))))
-        keep = chosen[at] & ((counts > copies[at]) | (counts == HOT))
-        at = at[keep]
-        grams = (counts[keep].astype(np.uint64) << np.uint64(56)) | grams[keep]
+        parts = []
+        for row in zip(*(table[c].to_pylist() for c in ("grams", "at", "counts"))):
+            at, counts = from_planes(row[1], "<u2"), from_planes(row[2], "u1")
+            keep = chosen[at] & ((counts > copies[at]) | (counts == HOT))
+            own = from_sorted(row[0])[keep]
+            own |= counts[keep].astype(np.uint64) << np.uint64(56)
+            parts.append((own, at[keep]))
+        grams, at = (np.concatenate(x) for x in zip(*parts))
+        del parts
         order = np.lexsort((grams, at))
         grams, at = grams[order], at[order]
+        del order
         one = np.r_[True, (grams[1:] != grams[:-1]) | (at[1:] != at[:-1])][:len(at)]
         grams, at = grams[one], at[one]
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][:len(at)])
@@ -367,6 +395,7 @@ def links_of(near: DataFrame, threshold: int) -> DataFrame:
 
 def placed_nodes(docs: DataFrame, words: int, threshold: int) -> tuple[DataFrame, DataFrame]:
     """(rows as doc_id, node, n), (nodes as node, their smallest doc_id, component)."""
+    bounded_batches(docs.sparkSession, TEXT_BYTES)
     texts = docs.select(F.col("doc_id").cast("bigint"), whole_text().alias("text"))
     meta = written(sizes(texts, words), "sizes")
     nodes = meta.filter("node IS NOT NULL").groupBy("node").agg(

@@ -1,4 +1,6 @@
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -118,3 +120,48 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     got = dict(map(tuple, components(edges).collect()))
     assert all(got[i] == 0 for i in range(41)) and got[101] == 100
+
+
+def peak_of(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def flush_sets(nodes=100, grams=3000):
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 1 << 64, 40, np.uint64)
+    return [(k, np.unique(np.r_[rng.integers(0, 1 << 64, grams, np.uint64), common[:k % 41]])) for k in range(nodes)]
+
+
+def test_a_flush_holds_its_grams_a_few_times_only():
+    sets = flush_sets()
+    size = sum(x.nbytes for _, x in sets)
+    rows, peak = peak_of(lambda: sum(1 for _ in jj.flush_rows(7, sets, 5)))
+    assert rows == 7 and not sets and peak < 4 * size
+
+
+def test_counting_a_block_holds_its_grams_a_few_times_only():
+    grams = [np.sort(x) >> np.uint64(8) for _, x in flush_sets()]
+    known = np.zeros(sum(map(len, grams)), bool)
+    seen, peak = peak_of(lambda: jj.set_counts(grams, known))
+    count = Counter(np.concatenate(grams).tolist())
+    assert seen.tolist() == [min(count[x], jj.HOT) for x in np.concatenate(grams).tolist()]
+    assert peak < 4.5 * seen.size * 8
+
+
+def test_rows_of_a_flush_name_every_gram_and_place():
+    sets = flush_sets(nodes=60, grams=300)
+    count = Counter(x >> 8 for _, own in sets for x in own.tolist())
+    want = sorted((x >> 8, k) for k, (_, own) in enumerate(sets) for x in own.tolist())
+    found, told = [], []
+    for row in list(jj.flush_rows(7, sets, 5))[1:]:
+        (block,), grams = row["block"], jj.from_sorted(row["grams"][0]).tolist()
+        at = jj.from_planes(row["at"][0], "<u2").tolist()
+        assert block == 5 + 7 % 5 or all((g >> 24) * 5 >> 32 == block for g in grams)
+        told += [g for g, k in zip(grams, at) if k == jj.KNOWN]
+        found += [(g, k) for g, k in zip(grams, at) if k != jj.KNOWN]
+    assert sorted(found) == want
+    assert sorted(told) == sorted(x for x, n in count.items() if n > jj.LOCAL_HOT) != []
