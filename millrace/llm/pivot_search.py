@@ -2,8 +2,10 @@
 
 Every vector carries its distances to the same pivots. For a query q and a candidate c the largest
 ``|d(q, p) - d(c, p)|`` is a lower bound of their distance, which with both norms bounds their inner
-product from above. Candidates are evaluated in the order of that bound until no bound reaches the
-k-th best score: the rest cannot enter the result, nor tie with it.
+product from above. Candidates near the same pivot stand together in tiles, whose ranges of distances bound all
+their candidates at once. A query's tiles are evaluated in the order of that bound until no bound reaches the
+k-th best score: the rest cannot enter the result, nor tie with it. The queries that evaluate a tile at the same
+turn do so as one matrix product.
 """
 
 from __future__ import annotations
@@ -18,8 +20,9 @@ from millrace.llm.common import arrow_schema, map_rows, written
 PIVOTS = 48
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 8192
-EVALUATE = 256
+TILE = 256
 LARGEST = 1 << 23
+LOWEST = -(1 << 62)  # below every score
 TABLE = ("vec_id bigint, dim int, vector array<bigint>, norm bigint, distances array<double>, "
          "is_query boolean, spread bigint")
 HITS = "query_id bigint, vec_id bigint, score bigint, evaluated bigint"
@@ -49,8 +52,8 @@ def pivot_table(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             ids, dims = batch["vec_id"].to_pylist(), batch["dim"].to_numpy()
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
-                x = np.array(batch["vector"].take(pa.array(rows)).to_pylist(), np.float64)
-                table = np.sqrt(((x[:, None, :] - pivots[dim][None]) ** 2).sum(axis=2))
+                x = matrix(batch["vector"].take(pa.array(rows))).astype(np.float64)
+                table = np.sqrt(np.stack([((x - p) ** 2).sum(axis=1) for p in pivots[dim]], axis=1))
                 yield {"vec_id": [ids[i] for i in rows], "dim": [int(dim)] * len(rows),
                        "vector": list(x.astype(np.int64)), "norm": (x * x).sum(axis=1).astype(int),
                        "distances": list(table),
@@ -60,33 +63,83 @@ def pivot_table(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     return map_rows(vectors, TABLE, start)
 
 
+def tiles_of(candidates: dict) -> tuple[np.ndarray, list[tuple[int, int]], tuple]:
+    """(order, tiles as ranges of it, (lowest, highest) distances to pivots and largest norm of each)."""
+    distances = candidates["distances"]
+    nearest = distances.argmin(axis=1)
+    order = np.lexsort((distances[np.arange(len(nearest)), nearest], nearest))
+    starts = np.arange(0, len(order), TILE)
+    distances = distances[order]
+    bounds = (np.minimum.reduceat(distances, starts), np.maximum.reduceat(distances, starts),
+              np.maximum.reduceat(candidates["norm"][order], starts).astype(np.float64))
+    return order, [(int(x), min(int(x) + TILE, len(order))) for x in starts], bounds
+
+
+def tile_bounds(queries: dict, lowest: np.ndarray, highest: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """Per query and tile what no inner product of the two exceeds. Scores are integers; the bounds' rounding is
+    far below 0.5 or, for large norms, the share of them that is added."""
+    gap = np.zeros((len(queries["vec_id"]), len(norms)))
+    for p in range(lowest.shape[1]):
+        own = queries["distances"][:, p, None]
+        np.maximum(gap, lowest[None, :, p] - own, gap)
+        np.maximum(gap, own - highest[None, :, p], gap)
+    own = queries["norm"].astype(np.float64)
+    return ((own[:, None] + norms[None] - gap * gap) / 2 + 0.5
+            + 1e-9 * (own[:, None] + norms.max(initial=0)))
+
+
 def search_block(queries: dict, candidates: dict, k: int) -> list[tuple]:
-    """Top k of each query among the candidates of a block, in bound order."""
-    hits = []
-    order_ids = candidates["vec_id"]
-    for q in range(len(queries["vec_id"])):
-        gap = np.zeros(len(order_ids))
-        for p in range(candidates["distances"].shape[1]):
-            np.maximum(gap, np.abs(candidates["distances"][:, p] - queries["distances"][q, p]), gap)
-        bound = (queries["norm"][q] + candidates["norm"] - gap * gap) / 2
-        order = np.argsort(-bound, kind="stable")
-        order = order[order_ids[order] != queries["vec_id"][q]]
-        best, at = [], 0
-        # Scores are integers; the bounds' rounding is far below 0.5 or, for large norms, this share of them.
-        slack = 0.5 + 1e-9 * float(queries["norm"][q] + candidates["norm"].max())
-        while at < len(order) and (len(best) < k or bound[order[at]] + slack >= -best[-1][0]):
-            part = order[at:at + EVALUATE]
-            scores = candidates["vector"][part] @ queries["vector"][q]
-            best = sorted([*best, *zip((-scores).tolist(), order_ids[part].tolist())])[:k]
-            at += len(part)
-        hits += [(int(queries["vec_id"][q]), vec_id, -score, at) for score, vec_id in best]
-    return hits
+    """Top k of each query among the candidates of a block, tiles in bound order."""
+    order, tiles, bounds = tiles_of(candidates)
+    ids = candidates["vec_id"][order]
+    bound = tile_bounds(queries, *bounds)
+    turn = np.argsort(-bound, axis=1, kind="stable")
+    sides = queries["vector"], candidates["vector"][order]
+    largest = [float(np.abs(x).max(initial=0)) for x in sides]
+    # Doubles are multiplied faster, and as exactly while every sum stays below 2^53.
+    kind = np.float64 if largest[0] * largest[1] * sides[0].shape[1] < 1 << 53 else np.int64
+    left, right = (x.astype(kind) for x in sides)
+    own = np.isin(ids, queries["vec_id"])
+    best: list[list] = [[] for _ in range(len(left))]
+    reached = np.full(len(left), LOWEST, kind)  # the k-th best score
+    evaluated = np.zeros(len(left), np.int64)
+    active = np.arange(len(left))
+    for nth in range(len(tiles)):
+        active = active[bound[active, turn[active, nth]] >= reached[active]]
+        chosen = turn[active, nth]
+        for t in np.unique(chosen).tolist():
+            rows, (low, high) = active[chosen == t], tiles[t]
+            scores = left[rows] @ right[low:high].T
+            evaluated[rows] += high - low
+            for column in np.flatnonzero(own[low:high]):
+                mine = queries["vec_id"][rows] == ids[low + column]
+                scores[mine, column] = LOWEST
+                evaluated[rows[mine]] -= 1
+            least = reached[rows]
+            if high - low > k and (least == LOWEST).any():
+                least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
+            hit = (scores >= least[:, None]) & (scores > LOWEST)
+            row, column = np.nonzero(hit)
+            cuts = np.searchsorted(row, np.arange(len(rows) + 1)).tolist()
+            found = list(zip((-scores[row, column]).tolist(), ids[low + column].tolist()))
+            for i, q in enumerate(rows.tolist()):
+                if cuts[i] < cuts[i + 1]:
+                    best[q] = sorted(best[q] + found[cuts[i]:cuts[i + 1]])[:k]
+                    if len(best[q]) == k:
+                        reached[q] = -best[q][-1][0]
+    return [(int(queries["vec_id"][q]), vec_id, int(-score), int(evaluated[q]))
+            for q in range(len(left)) for score, vec_id in best[q]]
+
+
+def matrix(column) -> np.ndarray:
+    """Lists of equal length as rows."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def as_arrays(table: pa.Table) -> dict:
     return {"vec_id": table["vec_id"].to_numpy(), "norm": table["norm"].to_numpy(),
-            "vector": np.array(table["vector"].to_pylist(), np.int64),
-            "distances": np.array(table["distances"].to_pylist(), np.float64)}
+            "vector": matrix(table["vector"]), "distances": matrix(table["distances"])}
 
 
 def pivot_top_k(vectors: DataFrame, is_query: "F.Column", k: int = 5, scale: int = 256,

@@ -1,11 +1,13 @@
 import math
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from millrace.llm.pivot_search import pivot_top_k
+from millrace.llm.pivot_search import pivot_top_k, search_block
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, spread string, dim string"
 
@@ -64,3 +66,26 @@ def test_large_components(spark):
     for huge in (1e8, -1e20):
         with pytest.raises(PySparkException):
             pivot_top_k(vectors(spark, [(0, [huge]), (1, [1.])]), F.col("vec_id") % 2 == 0).collect()
+
+
+def block(rng, n, dim, first=0):
+    x = rng.integers(-200, 200, (n, dim))
+    pivots = rng.integers(-200, 200, (48, dim))
+    return {"vec_id": np.arange(first, first + n), "vector": x, "norm": (x * x).sum(axis=1),
+            "distances": np.sqrt(((x[:, None].astype(float) - pivots[None]) ** 2).sum(axis=2))}
+
+
+def test_a_block_without_clusters_costs_little():
+    """Nearly every candidate of every query is evaluated: a bound for each would take 3 s."""
+    rng = np.random.default_rng(1)
+    candidates = block(rng, 8192, 64)
+    queries = {name: x[::13] for name, x in candidates.items()}
+    start = time.process_time()
+    got = search_block(queries, candidates, 5)
+    assert time.process_time() - start < 1.8
+    want = []
+    for q, x in zip(queries["vec_id"].tolist(), queries["vector"]):
+        scores = sorted(zip((-(candidates["vector"] @ x)).tolist(), candidates["vec_id"].tolist()))
+        want += [(q, j, -s) for s, j in [y for y in scores if y[1] != q][:5]]
+    assert [x[:3] for x in got] == want
+    assert max(x[3] for x in got) <= 8191
