@@ -77,3 +77,26 @@ def test_all_latin_letters_give_the_librarys_ids(name):
         for text in (letter, f"{letter}ab", f"a{letter}b", f"x {letter}a. B{letter},", f"{letter}{letter}\n{letter}\u0130stanbul"):
             got = np.frombuffer(ours.ids(text), "<u4").tolist()
             assert got == plain.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_with_marks_need_no_whole_tokenizer(name, monkeypatch):
+    plain, ours = Tokenizer.from_file(tokenizer_path(name)), Encoder(tokenizer_path(name))
+    marks = ["%%%", "***", ".)", "&&&", "!?", ";", '"', "-", "`~", "<|", "|>"]
+    for mark in marks:
+        ours.ids(f"a a{mark}")
+    ours.ids("a\nb")
+    monkeypatch.setattr(ours, "_library", None)
+    text = "a " + " ".join(f"word{chr(97 + i)}{mark} Straße{mark}" for i, mark in enumerate(marks))
+    text = f"{text} {text}"
+    assert np.frombuffer(ours.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_keys_of_stretches_stay_apart(name):
+    """With and without the blank before them, wide white space between, one after another in one memory."""
+    plain, ours = Tokenizer.from_file(tokenizer_path(name)), Encoder(tokenizer_path(name))
+    for text in ("ab", " ab", "\nab", "  ab", " \nab", "\n ab", "ab ", "ab\n", " ", "\n", "", "x ab", "x\nab", "x  ab", "x \nab",
+                 "x\n\nab.", "x ab. ", "x ab.\n", "ab ab\nab  ab", "ab, Ab, AB,", "'s 's x's", "ab <|endoftext|> ab<|endoftext|>ab"):
+        for _ in range(2):
+            assert np.frombuffer(ours.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
