@@ -60,14 +60,14 @@ def give_back() -> None:
 LARGE_WORKER = 320 << 20
 
 
-def tidy() -> None:
+def tidy(most: int = LARGE_WORKER) -> None:
     """Hand memory back if this worker has grown: idle workers beside busy ones keep what they hold."""
     try:
         with open("/proc/self/statm") as sizes:
             resident = int(sizes.read().split()[1]) * resource.getpagesize()
     except OSError:
         return  # another system: nothing to read
-    if resident > LARGE_WORKER:
+    if resident > most:
         give_back()
 
 
@@ -85,18 +85,20 @@ def whole_text(column: str = "text") -> "F.Column":
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable]) -> DataFrame:
+def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable], most: int = LARGE_WORKER) -> DataFrame:
     """Apply Python to Arrow batches. ``start`` runs once per task and gives a function from one
-    batch to an iterable of columns dicts; with ``None`` it is called once more at the end."""
+    batch to an iterable of columns dicts; with ``None`` it is called once more at the end. Workers of
+    more than ``most`` bytes then hand memory back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = start()
+        step, batch, columns = start(), None, None
         for batch in batches:
             for columns in step(batch):
                 yield pa.RecordBatch.from_pydict(columns, schema=arrow)
+        batch = None
         for columns in step(None):
             yield pa.RecordBatch.from_pydict(columns, schema=arrow)
-        del step
-        tidy()
+        del step, columns
+        tidy(most)
 
     arrow = arrow_schema(df.sparkSession, schema)
     return df.mapInArrow(run, schema)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import arrow_schema, map_rows, whole_text, written
+from millrace.llm.common import arrow_schema, map_rows, tidy, whole_text, written
 from millrace.llm.jaccard_join import from_planes, planes
 
 ORDER = 5
@@ -34,7 +34,8 @@ PAD = b"\xff"  # in no UTF-8
 VOCABULARY = "word binary, n bigint"
 BLOCKS = "block bigint, doc_id array<bigint>, held_out array<boolean>, start array<bigint>, data binary, bytes bigint"
 PIECE = 1 << 20  # places of a block that are looked up at once
-RANGES = 8  # of values, in each of which the places of a block's grams are found at once
+RANGES = 16  # of values: the grams of a block are counted and their places found one range at a time
+WORKER = 160 << 20  # resident bytes from which a worker hands memory back: heap and idle workers share an executor
 PART_BYTES = 16 << 20  # text whose grams meet in a part, about; blocks meet it in groups where there are MAX_PARTS
 MAX_PARTS = 4096
 MIX = 1_500_450_271  # a fixed odd number; times 32 bits it stays within 63
@@ -65,7 +66,7 @@ def counted(df: DataFrame, schema: str, add) -> DataFrame:
             elif counts:
                 yield {"word": list(counts), "n": list(counts.values())}
         return step
-    return map_rows(df, schema, start).groupBy("word").agg(F.sum("n").alias("n"))
+    return map_rows(df, schema, start, WORKER).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
@@ -116,21 +117,45 @@ def text_blocks(rows: DataFrame, order: int) -> DataFrame:
                     if size >= BLOCK_BYTES:
                         yield from emptied()
         return step
-    return map_rows(rows, BLOCKS, start)
+    return map_rows(rows, BLOCKS, start, WORKER)
 
 
 def stream_bytes(batch, i: int) -> bytes:
     return pa.decompress(batch["data"][i].as_py(), batch["bytes"][i].as_py(), codec="zstd", asbytes=True)
 
 
-def place_grams(data: bytes, starts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(gram of every coded byte, how many each text has). The first blank is given, not coded."""
-    x = np.frombuffer(data, np.uint8)
-    sizes = np.diff(starts, append=len(x)) - order - 1
-    coded = np.ones(len(x) - order, bool)  # gram i codes byte i + order
+def coded_places(length: int, starts: np.ndarray, order: int) -> np.ndarray:
+    """Whether gram i codes byte i + order. Pads and the first blank of a text are given, not coded."""
+    coded = np.ones(length - order, bool)
     for k in range(order + 1):
         at = starts + k - order
         coded[at[at >= 0]] = False
+    return coded
+
+
+def gram_ranges(data: bytes, starts: np.ndarray, order: int, ranges: int = RANGES):
+    """(places, grams) of the coded bytes, one range of values at a time, rising: never all grams of a block at once.
+    Place i codes byte i + order."""
+    length = len(data) - order
+    eights = np.ndarray(length, ">u8", data + bytes(8), strides=(1,))  # a gram begins each of them,
+    twos = np.ndarray(length, ">u2", data, strides=(1,))               # and each gram with one of these
+    seen = np.bincount(twos[::max(1, length // (1 << 16))], minlength=1 << 16)
+    range_of = ((np.cumsum(seen) - seen) * ranges // seen.sum()).astype(np.uint8)
+    of = np.empty(length, np.uint8)
+    for a in range(0, length, PIECE):
+        of[a:a + PIECE] = range_of[twos[a:a + PIECE]]
+    of[~coded_places(len(data), starts, order)] = ranges
+    rest = np.uint64(56 - 8 * order)
+    for k in range(ranges):
+        own = np.flatnonzero(of == k)
+        yield own, (eights[own] >> rest).astype(np.int64)
+
+
+def place_grams(data: bytes, starts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(gram of every coded byte, how many each text has): all at once, the plain form of ``gram_ranges``."""
+    x = np.frombuffer(data, np.uint8)
+    sizes = np.diff(starts, append=len(x)) - order - 1
+    coded = coded_places(len(x), starts, order)
     grams, done = np.empty(np.count_nonzero(coded), np.int64), 0
     for a in range(0, len(coded), PIECE):
         own = coded[a:a + PIECE]
@@ -198,22 +223,39 @@ def packed_by_part(distinct: np.ndarray, parts: int) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
 
 
+def block_counts(data: bytes, starts: np.ndarray, held_out: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct grams of a block in order, how often each is in training rows)."""
+    train = np.repeat(~held_out, np.diff(starts, append=len(data)))[order:]
+    found = [sorted_counts(grams, train[own]) for own, grams in gram_ranges(data, starts, order)]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def block_places(data: bytes, starts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each byte's gram among the distinct ones, -1 where none is coded; the distinct ones in order)."""
+    places, distinct, before = np.full(len(data) - order, -1, np.int32), [], 0
+    for own, grams in gram_ranges(data, starts, order):
+        codes, found = pd.factorize(grams, sort=True)
+        places[own] = codes + before
+        before += len(found)
+        distinct.append(found)
+    return places, np.concatenate(distinct)
+
+
 def block_grams(blocks: DataFrame, order: int, parts: int) -> DataFrame:
     """Distinct grams of each block with their number in training rows, packed: one row per block and part, the
     grams sorted and as differences."""
     def start():
         def step(batch):
             for i in range(batch.num_rows if batch is not None else 0):
-                grams, sizes = place_grams(stream_bytes(batch, i), np.array(batch["start"][i].as_py()), order)
-                distinct, n = sorted_counts(grams, np.repeat(~np.array(batch["held_out"][i].as_py(), bool), sizes))
-                del grams
+                distinct, n = block_counts(stream_bytes(batch, i), np.array(batch["start"][i].as_py()),
+                                           np.array(batch["held_out"][i].as_py(), bool), order)
                 rows = packed_by_part(distinct, parts)
                 yield {"part": [int(part_of(distinct[x[:1]], parts)[0]) for x in rows],
                        "block": [batch["block"][i].as_py()] * len(rows),
                        "grams": [planes(np.diff(distinct[x], prepend=0)) for x in rows],
                        "n": [planes(n[x]) for x in rows]}
         return step
-    return map_rows(blocks, GRAMS, start)
+    return map_rows(blocks, GRAMS, start, WORKER)
 
 
 def unpacked(grams: bytes) -> np.ndarray:
@@ -224,13 +266,20 @@ def counted_grams(packed: DataFrame, groups: int) -> DataFrame:
     """(gram, n) of all blocks. A group of rows that meet is a part's, of one in ``groups`` blocks."""
     schema = arrow_schema(packed.sparkSession, COUNTED)
 
-    def merge(table: pa.Table) -> pa.Table:
+    def summed(table: pa.Table) -> pa.Table:
         grams = np.concatenate([unpacked(x.as_py()) for x in table["grams"]])
         n = np.concatenate([from_planes(x.as_py(), "<i8") for x in table["n"]])
-        distinct, place = np.unique(grams, return_inverse=True)
-        summed = np.zeros(len(distinct), np.int64)
-        np.add.at(summed, place, n)
-        return pa.table([distinct, summed], schema=schema)
+        order = np.argsort(grams)
+        grams, n = grams[order], n[order]
+        del order
+        first = np.flatnonzero(np.diff(grams, prepend=-1))
+        return pa.table([grams[first], np.add.reduceat(n, first)], schema=schema)
+
+    def merge(table: pa.Table) -> pa.Table:
+        found = summed(table)
+        del table
+        tidy(WORKER)
+        return found
 
     merged = packed.groupBy("part", F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group")).applyInArrow(merge, COUNTED)
     return merged if groups == 1 else merged.groupBy("gram").agg(F.sum("n").alias("n"))
@@ -240,7 +289,7 @@ def block_codes(packed: DataFrame, codes: DataFrame, parts: int, groups: int) ->
     """Code lengths of each block's grams, in the order of its packed grams: one row per block and part."""
     schema = arrow_schema(packed.sparkSession, CODES)
 
-    def pick(rows: pa.Table, known: pa.Table) -> pa.Table:
+    def picked(rows: pa.Table, known: pa.Table) -> pa.Table:
         found = {"block": rows["block"], "part": rows["part"], "codes": []}
         if rows.num_rows:
             gram, code = known["gram"].to_numpy(), known["code"].to_numpy()
@@ -255,6 +304,11 @@ def block_codes(packed: DataFrame, codes: DataFrame, parts: int, groups: int) ->
         return pa.Table.from_arrays([pa.chunked_array(found[f.name], f.type) if isinstance(found[f.name], pa.ChunkedArray)
                                      else pa.array(found[f.name], f.type) for f in schema], schema=schema)
 
+    def pick(rows: pa.Table, known: pa.Table) -> pa.Table:
+        found = picked(rows, known)
+        tidy(WORKER)
+        return found
+
     group = F.pmod(F.xxhash64("block"), F.lit(groups))
     sent = codes.withColumn("part", part_of(F.col("gram"), parts)).withColumn(
         "group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
@@ -314,20 +368,19 @@ def block_scores(blocks: DataFrame, codes: DataFrame, order: int, parts: int) ->
         def step(batch):
             for i in range(batch.num_rows if batch is not None else 0):
                 starts = np.array(batch["start"][i].as_py())
-                grams, sizes = place_grams(stream_bytes(batch, i), starts, order)
-                places, distinct = sorted_places(grams)
-                del grams
+                places, distinct = block_places(stream_bytes(batch, i), starts, order)
                 packed = {x["part"]: x["codes"] for x in batch["codes"][i].as_py()}
-                code = np.empty(len(distinct))
+                code = np.zeros(len(distinct) + 1)  # the last one for bytes that are not coded
                 for rows in packed_by_part(distinct, parts):
                     code[rows] = from_planes(packed[int(part_of(distinct[rows[:1]], parts)[0])], "<f8")
-                first = np.cumsum(sizes) - sizes
+                first = np.maximum(starts - order, 0)
                 sums = np.concatenate([np.add.reduceat(code[places[a:b]], own - a)
                                        for own, a, b in pieces(first, len(places))])
                 block = batch["block"][i].as_py()
                 yield {"row": np.arange(block, block + len(starts)), "score": sums}
         return step
-    return map_rows(blocks.select("block", "start", "data", "bytes").join(tables, "block"), "row bigint, score double", start)
+    return map_rows(blocks.select("block", "start", "data", "bytes").join(tables, "block"), "row bigint, score double",
+                    start, WORKER)
 
 
 def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUENT) -> DataFrame:
@@ -390,7 +443,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, frequent: int = FREQUEN
                         *(none + x for x in sums_))))
         return step
 
-    parts = map_rows(blocks, PARTS, start)
+    parts = map_rows(blocks, PARTS, start, WORKER)
     joined = parts.join(words.select("word", F.col("n").alias("seen")), "word", "left").select(
         "row", "doc_id", "held_out", "n_tokens", "n_known", "base", "n", "seen")
     scores = block_scores(blocks, codes, order, n_parts)

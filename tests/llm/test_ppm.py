@@ -139,3 +139,34 @@ def test_arrays_of_a_block_stay_below_two_of_its_grams(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert sizes.sum() == len(grams) and peak < 2 * 8 * len(data)
+
+
+def test_grams_by_ranges_are_those_of_the_whole(monkeypatch):
+    monkeypatch.setattr(ppm, "PIECE", 37)
+    for order in (1, 5, 6):
+        streams = [ppm.stream_of(t or "", order) for t in awkward_texts()] * 2
+        data, starts = b"".join(streams), np.cumsum([0, *map(len, streams[:-1])])
+        held_out = np.arange(len(streams)) % 3 == 1
+        grams, sizes = ppm.place_grams(data, starts, order)
+        distinct, inverse = np.unique(grams, return_inverse=True)
+        train = np.repeat(~held_out, sizes)
+        got, n = ppm.block_counts(data, starts, held_out, order)
+        assert got.tolist() == distinct.tolist()
+        assert n.tolist() == np.bincount(inverse[train], minlength=len(distinct)).tolist()
+        places, found = ppm.block_places(data, starts, order)
+        assert found.tolist() == distinct.tolist() and places[places >= 0].tolist() == inverse.tolist()
+        assert np.flatnonzero(places >= 0).tolist() == np.flatnonzero(ppm.coded_places(len(data), starts, order)).tolist()
+
+
+def test_a_block_is_counted_and_placed_range_by_range(monkeypatch):
+    """Bytes of arrays for a byte of a block; 11 and 21 with all its grams at once."""
+    monkeypatch.setattr(ppm, "PIECE", 1 << 16)
+    data = np.random.default_rng(5).integers(97, 103, 4 << 20).astype(np.uint8).tobytes()
+    starts = np.arange(0, len(data), 1 << 16)
+    for most, work in ((8, lambda: ppm.block_counts(data, starts, np.zeros(len(starts), bool), ppm.ORDER)),
+                       (13, lambda: ppm.block_places(data, starts, ppm.ORDER))):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * len(data)
