@@ -4,9 +4,10 @@ With one component more, ``sqrt(m2 - |x|^2)``, all candidates of a length lie on
 zero there, is the nearer to a candidate the larger their inner product. Candidates belong to the nearest of
 a bounded number of landmarks; every landmark's candidates, in blocks of bounded size, become cover trees:
 a node's children are centres more than its covering radius, divided by ``RATIO``, apart. The radius around a
-node's centre bounds from both sides the inner products a query can have below it. Nodes are taken best first;
-nodes above or below all windows of a query are skipped, and so is everything that no longer reaches the
-k-th score so far. Points of leaves are verified with exact integer products.
+node's centre bounds from both sides the inner products a query can have below it, and below its children no more
+than that. Leaves of the same parent stand together in tiles, which a query takes best first, in turns of doubling
+length; tiles above or below all its windows are skipped, and so is everything that no longer reaches the k-th score
+so far. The queries that take a tile in the same turn verify its points as one product of exact integers.
 
 A query first searches the blocks of its own landmark; with the scores found there it then goes only to those
 landmarks whose bounds can still matter.
@@ -14,7 +15,6 @@ landmarks whose bounds can still matter.
 
 from __future__ import annotations
 
-import heapq
 import pickle
 
 import numpy as np
@@ -27,7 +27,8 @@ from millrace.llm.pivot_search import usable
 
 BLOCK, QUERY_BLOCK = 8192, 8192  # candidates of a tree, queries that meet it in one task, about
 LANDMARKS = 1024                 # at most, per vector length
-LEAF, FANOUT, RATIO = 256, 32, 1.3
+LEAF, FANOUT, RATIO = 256, 32, 1.3  # points of a leaf or tile, about
+TOGETHER = 1024                  # queries that search a tree at once
 LARGEST = 1 << 23                # components beyond raise: sums of products must be exact
 LOWEST = -(1 << 62)
 
@@ -134,7 +135,29 @@ def trees_of(placed: DataFrame, m2: dict[int, int]) -> DataFrame:
     return placed.groupBy("dim", "home", "sub").applyInArrow(build, TREE)
 
 
-def bounds(dots: np.ndarray, radii: np.ndarray, norm: float, m2: float) -> tuple[np.ndarray, np.ndarray]:
+def tiles_of(tree: dict, most: int = LEAF) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(leaves in the order of their points, (begin, end) of tiles, first leaf of each). A tile is a run of leaves of one
+    parent, or a piece of a leaf, of at most ``most`` points."""
+    spans, children = tree["spans"], tree["children"]
+    inner = children[:, 0] < children[:, 1]
+    parent = np.full(len(spans), -1)
+    for node in np.flatnonzero(inner):
+        parent[slice(*children[node])] = node
+    leaves = np.flatnonzero(~inner)
+    leaves = leaves[np.argsort(spans[leaves, 0])]
+    tiles, first = [], []
+    for i, leaf in enumerate(leaves):
+        begin, end = spans[leaf].tolist()
+        if tiles and parent[leaf] == parent[leaves[i - 1]] and end - tiles[-1][0] <= most:
+            tiles[-1][1] = end
+        else:
+            for a in range(begin, end, most):
+                tiles.append([a, min(a + most, end)])
+                first.append(i)
+    return leaves, np.array(tiles), np.array(first)
+
+
+def bounds(dots: np.ndarray, radii: np.ndarray, norm: float | np.ndarray, m2: float) -> tuple[np.ndarray, np.ndarray]:
     """Least and largest inner product below centres, from the query's products with them."""
     total = norm + m2
     distance = np.sqrt(np.maximum(total - 2 * dots, 0))
@@ -143,37 +166,82 @@ def bounds(dots: np.ndarray, radii: np.ndarray, norm: float, m2: float) -> tuple
     return (total - furthest ** 2) / 2 - slack, (total - nearest ** 2) / 2 + slack
 
 
-def descend(tree: dict, lower: np.ndarray, upper: np.ndarray, q: np.ndarray, allowed: np.ndarray,
-            low: np.ndarray, high: np.ndarray, k: int) -> tuple[list[list[tuple[int, int]]], int]:
-    """Per window its k best allowed points as (-score, id), and the number of points verified."""
-    need, best, evaluated = low.copy(), [[] for _ in low], 0
-    counts = np.r_[0, np.cumsum(allowed)]
-    spans, children = tree["spans"], tree["children"]
-    # A node is a chance only where allowed points lie below it.
-    open_ = counts[spans[:, 1]] > counts[spans[:, 0]]
-    heap = [(-upper[0], 0)] if open_[0] else []
-    while heap:
-        bound, node = heapq.heappop(heap)
-        if -bound < need.min():
-            break
-        if not ((need <= -bound) & (high >= lower[node])).any():
-            continue
-        first, last = children[node]
-        if first < last:
-            for child in range(first, last):
-                if open_[child] and ((need <= upper[child]) & (high >= lower[child])).any():
-                    heapq.heappush(heap, (-upper[child], child))
-            continue
-        a, b = spans[node]
-        scores = tree["x"][a:b] @ q
-        evaluated += int(b - a)
-        for w in range(len(best)):
-            hit = np.flatnonzero((scores >= need[w]) & (scores <= high[w]) & allowed[a:b])
+def tile_bounds(tree: dict, q: np.ndarray, norms: np.ndarray, m2: float, leaves: np.ndarray,
+                first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per query and tile the least and largest inner product, from its leaves and all nodes above them."""
+    lower, upper = bounds(q @ tree["centres"].astype(np.float64).T, tree["radii"], norms[:, None], m2)
+    for node, (begin, end) in enumerate(tree["children"].tolist()):
+        if begin < end:
+            np.minimum(upper[:, begin:end], upper[:, node, None], upper[:, begin:end])
+            np.maximum(lower[:, begin:end], lower[:, node, None], lower[:, begin:end])
+    return np.minimum.reduceat(lower[:, leaves], first, axis=1), np.maximum.reduceat(upper[:, leaves], first, axis=1)
+
+
+class Best:
+    """The k best (score, id) of each of some windows, ties to smaller ids."""
+
+    def __init__(self, windows: int, k: int, kind: type):
+        self.scores = np.full((windows, k), LOWEST, kind)
+        self.ids = np.full((windows, k), np.iinfo(np.int64).max)
+
+    def add(self, window: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Windows that got something."""
+        k = self.scores.shape[1]
+        by = np.lexsort((ids, -scores, window))
+        window, scores, ids = window[by], scores[by], ids[by]
+        starts = np.flatnonzero(np.diff(window, prepend=-1))
+        sizes = np.diff(starts, append=len(window))
+        nth = np.arange(len(window)) - np.repeat(starts, sizes)
+        kept, own = nth < k, window[starts]
+        at = np.repeat(np.arange(len(own)), sizes)[kept], k + nth[kept]
+        all_scores = np.c_[self.scores[own], np.full((len(own), k), LOWEST, self.scores.dtype)]
+        all_ids = np.c_[self.ids[own], np.full((len(own), k), np.iinfo(np.int64).max)]
+        all_scores[at], all_ids[at] = scores[kept], ids[kept]
+        by = np.lexsort((all_ids, -all_scores), axis=-1)[:, :k]
+        self.scores[own] = np.take_along_axis(all_scores, by, 1)
+        self.ids[own] = np.take_along_axis(all_ids, by, 1)
+        return own
+
+
+def search(tree: dict, m2: float, q: np.ndarray, norms: np.ndarray, vec_ids: np.ndarray, labels: np.ndarray,
+           low: np.ndarray, high: np.ndarray, k: int, same: bool) -> tuple[Best, np.ndarray]:
+    """Of queries (rows) and their windows the k best points with the query's label, or with others, and how many
+    points each query verified. ``low`` and ``high`` have a row per query; windows with low > high are empty."""
+    exact = np.float64 if m2 < 2 ** 52 else np.int64
+    leaves, tiles, first = tiles_of(tree)
+    lower, upper = tile_bounds(tree, q, norms, m2, leaves, first)
+    kinds, kind = np.unique(tree["labels"], return_inverse=True)
+    own_kind = np.searchsorted(kinds, labels)
+    known = kinds[np.minimum(own_kind, len(kinds) - 1)] == labels
+    sizes = np.diff(tiles, axis=1)[:, 0]
+    for t, (begin, end) in enumerate(tiles.tolist()):  # a tile is a chance only where allowed points lie in it
+        count = np.bincount(kind[begin:end], minlength=len(kinds) + 1)
+        alike = np.where(known, count[own_kind], 0)
+        upper[(alike if same else sizes[t] - alike) == 0, t] = -np.inf
+    turn = np.argsort(np.argsort(-upper, axis=1, kind="stable"), axis=1)
+    need, high = low.astype(exact), high.astype(exact)
+    reached, n_windows = need.reshape(-1), need.shape[1]
+    best, evaluated = Best(need.size, k, exact), np.zeros(len(q), np.int64)
+    points, q = tree["x"].astype(exact), q.astype(exact)
+    since, until = 0, 1
+    while since < len(tiles):
+        for t, (begin, end) in enumerate(tiles.tolist()):
+            rows = np.flatnonzero((turn[:, t] >= since) & (turn[:, t] < until))
+            chance = (need[rows] <= upper[rows, t, None]) & (high[rows] >= lower[rows, t, None])
+            rows = rows[chance.any(1)]
+            if not len(rows):
+                continue
+            evaluated[rows] += end - begin
+            scores = q[rows] @ points[begin:end].T
+            row, point = np.nonzero((scores >= need[rows].min(1)[:, None]) & (scores <= high[rows].max(1)[:, None]))
+            scores, row, point = scores[row, point], rows[row], point + begin
+            allowed = ((tree["labels"][point] == labels[row]) == same) & (tree["ids"][point] != vec_ids[row])
+            scores, row, point = scores[allowed], row[allowed], point[allowed]
+            hit, window = np.nonzero((scores[:, None] >= need[row]) & (scores[:, None] <= high[row]))
             if len(hit):
-                found = zip((-scores[hit]).tolist(), tree["ids"][a:b][hit].tolist())
-                best[w] = heapq.nsmallest(k, [*best[w], *found])
-                if len(best[w]) == k:
-                    need[w] = max(need[w], -best[w][-1][0])
+                own = best.add(row[hit] * n_windows + window, scores[hit], tree["ids"][point[hit]])
+                reached[own] = np.maximum(reached[own], best.scores[own, -1])
+        since, until = until, 2 * until
     return best, evaluated
 
 
@@ -254,24 +322,24 @@ class Trees:
             hits = []
             if asked.num_rows and table.num_rows:
                 tree, dim = pickle.loads(table["tree"][0].as_py()), asked["dim"][0].as_py()
-                q = matrix(asked["vector"], dim)
-                norms = asked["norm"].to_numpy().astype(np.float64)
-                exact = np.float64 if float(m2[dim]) < 2 ** 52 else np.int64
-                tree["x"] = tree["x"].astype(exact)
-                centres = tree["centres"].astype(np.float64)
-                vec_ids, labels = asked["vec_id"].to_numpy(), asked["label"].to_numpy()
-                for i, windows in enumerate(asked["windows"].to_pylist()):
-                    lower, upper = bounds(centres @ q[i], tree["radii"], norms[i], m2[dim])
-                    allowed = ((tree["labels"] == labels[i]) if same else (tree["labels"] != labels[i]))
-                    allowed &= tree["ids"] != vec_ids[i]
-                    low = np.array([max(w["low"], w["least"]) for w in windows], np.int64)
-                    high = np.array([w["high"] for w in windows], np.int64)
-                    best, evaluated = descend(tree, lower, upper, q[i].astype(exact), allowed, low, high, k)
-                    uid = asked["uid"][i].as_py()
-                    for w, found in zip(windows, best):
-                        hits += [(uid, w["w"], vec_id, int(-score), evaluated) for score, vec_id in found]
-            return pa.table([pa.array(x, f.type) for x, f in zip(zip(*hits), hit_schema)] if hits
-                            else [[]] * len(hit_schema), schema=hit_schema)
+                for begin in range(0, asked.num_rows, TOGETHER):
+                    part = asked.slice(begin, TOGETHER)
+                    windows = part["windows"].to_pylist()
+                    most = max(map(len, windows), default=0)
+                    low, high, name = (np.full((len(windows), most), x, np.int64) for x in (-LOWEST, LOWEST, 0))
+                    for i, own in enumerate(windows):
+                        low[i, :len(own)] = [max(w["low"], w["least"]) for w in own]
+                        high[i, :len(own)] = [w["high"] for w in own]
+                        name[i, :len(own)] = [w["w"] for w in own]
+                    best, evaluated = search(
+                        tree, float(m2[dim]), matrix(part["vector"], dim), part["norm"].to_numpy().astype(np.float64),
+                        part["vec_id"].to_numpy(), part["label"].to_numpy(), low, high, k, same)
+                    own, nth = np.nonzero(best.scores > LOWEST)
+                    query = own // most
+                    hits.append(pa.table([part["uid"].to_numpy()[query], name.reshape(-1)[own].astype(np.int32),
+                                          best.ids[own, nth], best.scores[own, nth].astype(np.int64), evaluated[query]],
+                                         schema=hit_schema))
+            return pa.concat_tables(hits) if hits else hit_schema.empty_table()
 
         asked = queries.select(*columns).mapInArrow(route, sent)
         keys = ("dim", "home", "sub", "part")

@@ -98,3 +98,33 @@ def test_few_rows_and_large_components(spark):
     assert mined(vectors(spark, big)) == brute(big) != []
     with pytest.raises(PySparkException):
         mined(vectors(spark, [(0, [1e6], 1), (1, [1.], 1)]))
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_queries_search_a_tree_together(same):
+    rng = np.random.default_rng(7)
+    x = rng.integers(-60, 60, (3000, 8)).astype(float)
+    x[500:1300] = x[500]  # more copies than a tile holds
+    ids, labels, m2 = rng.permutation(3000), rng.integers(0, 3, 3000), float((x * x).sum(1).max())
+    tree = h.cover_tree(x, m2)
+    order = tree.pop("order")
+    tree |= {"centres": x[tree["centres"]], "x": x[order], "ids": ids[order], "labels": labels[order]}
+    leaves, tiles, first = h.tiles_of(tree)
+    sizes = np.diff(tiles, axis=1)[:, 0]
+    assert sizes.min() > 0 and sizes.max() <= h.LEAF
+    assert tiles[0, 0] == 0 and tiles[-1, 1] == 3000 and (tiles[1:, 0] == tiles[:-1, 1]).all()
+    assert len(tiles) < len(leaves) / 2
+    asked = np.r_[0:40, 500:520]
+    own = labels[asked]
+    own[3] = 9  # a label no point has
+    low = np.tile([-(1 << 62), 3000, 1 << 62], (60, 1))
+    high = np.tile([1 << 62, 9000, -(1 << 62)], (60, 1))
+    best, evaluated = h.search(tree, m2, x[asked], (x[asked] ** 2).sum(1), ids[asked], own, low, high, 5, same)
+    for i, q in enumerate(asked):
+        scores = (x @ x[q]).astype(int).tolist()
+        allowed = [(-s, int(j)) for s, j, label in zip(scores, ids, labels) if (label == own[i]) == same and j != ids[q]]
+        for w in range(3):
+            want = sorted(p for p in allowed if low[i, w] <= -p[0] <= high[i, w])[:5]
+            found = [(-int(s), int(j)) for s, j in zip(best.scores[3 * i + w], best.ids[3 * i + w]) if s > h.LOWEST]
+            assert found == want
+    assert evaluated.max() <= 3000 and evaluated.sum() < 60 * 3000
